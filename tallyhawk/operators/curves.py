@@ -23,7 +23,7 @@ def threshold_counts(scored: DataFrame, by: str = "model") -> DataFrame:
 
     ``place`` numbers the thresholds of a model from 1; ``places`` is how many there are.
     """
-    groups = quantile_bucket(score_groups(scored, by), "score").withColumn("one", F.lit(1).cast("bigint"))
+    groups = quantile_bucket(score_groups(scored, by), "score", ["pos", "neg"]).withColumn("one", F.lit(1).cast("bigint"))
     totals = running_totals(groups, [by], [F.desc("score")], ["pos", "neg", "one"], descending=True)
     return totals.select(
         by,

@@ -169,28 +169,28 @@ def grid_search(
     """(params..., fold, auc): every grid cell fitted on all folds but one and scored on that one.
 
     ``folded`` carries an integer fold column and is cached throughout; an empty grid gives one row per
-    fold. The cells of a fold are fitted ``parallelism`` at a time. The result is one row per fit.
+    fold. Fits run ``parallelism`` at a time. The result is one row per fit.
     """
     spark = folded.sparkSession
     ensure_checkpoint_dir(spark)
     names = list(grid)
     cells = [dict(zip(names, values)) for values in product(*grid.values())]
-    folds = [row[0] for row in folded.select(fold).distinct().orderBy(fold).collect()]
-    rows = []
     with cached(folded) as every:
-        for held_out in folds:
-            train, test = every.filter(F.col(fold) != held_out), every.filter(F.col(fold) == held_out)
+        folds = [row[0] for row in every.select(fold).distinct().orderBy(fold).collect()]
 
-            def run(cell: dict) -> tuple:
-                model = estimator.copy({estimator.getParam(n): v for n, v in cell.items()}).fit(train)
-                auc = curve_areas(score({"cell": model}, test, key, label)).first()
-                return (*cell.values(), held_out, auc["auc_roc"] if auc else None)
-
-            pool = ThreadPool(min(parallelism, len(cells)))
-            try:
-                rows += pool.map(inheritable_thread_target(spark)(run), cells)
-            finally:
-                pool.close()
+        def run(task: tuple[int, dict]) -> tuple:
+            held_out, cell = task
+            train, test = every.filter(F.col(fold) != held_out), every.filter(F.col(fold) == held_out)
+            model = estimator.copy({estimator.getParam(n): v for n, v in cell.items()}).fit(train)
+            auc = curve_areas(score({"cell": model}, test, key, label)).first()
+            return (*cell.values(), held_out, auc["auc_roc"] if auc else None)
+
+        tasks = list(product(folds, cells))
+        pool = ThreadPool(min(parallelism, len(tasks)))
+        try:
+            rows = pool.map(inheritable_thread_target(spark)(run), tasks)
+        finally:
+            pool.close()
     kinds = {int: "int", float: "double", str: "string", bool: "boolean"}
     typed = [f"`{n}` {kinds[type(grid[n][0])]}" for n in names]
     return spark.createDataFrame(rows, ", ".join([*typed, "fold int", "auc double"]))

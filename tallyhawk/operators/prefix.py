@@ -22,28 +22,39 @@ def default_buckets(spark: SparkSession) -> int:
     return 1 << max(wanted - 1, 1).bit_length()
 
 
-def quantile_bucket(df: DataFrame, order: str, buckets: int | None = None) -> DataFrame:
+def quantile_bucket(df: DataFrame, order: str, counts: list[str], buckets: int | None = None) -> DataFrame:
     """Add ``_bucket``: how many of the approximate quantile bounds of ``order`` are <= the value.
 
-    Expects few repeats of one (group, value), i.e. already grouped input, so that buckets balance.
-    The bounds come from a scalar subquery; the lookup is a binary search in about log2(buckets) steps.
+    ``df`` is already grouped, so that (group, value) hardly repeats and buckets balance; ``counts`` are
+    its aggregate columns. The bounds come from a scalar subquery that also looks at the counts: it then
+    needs the very columns the main plan needs, and reads the same shuffle instead of scanning again.
+    The lookup is a binary search in about log2(buckets) steps.
     """
     buckets = buckets or default_buckets(df.sparkSession)
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(order, cuts, max(10_000, 20 * buckets)))
+    cuts = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    used = sum((F.col(c) for c in counts[1:]), F.col(counts[0])) > -1
+    accuracy = max(10_000, 20 * buckets)
+    bounds = df.filter(used).agg(F.expr(f"percentile_approx(`{order}`, array({cuts}), {accuracy})"))
     steps = max(buckets - 1, 1).bit_length()
     search = (
         f"aggregate(sequence({steps - 1}, 0, -1), 0, (pos, step) -> "
         f"if(pos + shiftleft(1, step) <= size(_bounds) "
         f"and get(_bounds, pos + shiftleft(1, step) - 1) <= `{order}`, pos + shiftleft(1, step), pos))"
     )
-    return df.withColumn("_bounds", bounds.scalar()).withColumn(BUCKET, F.expr(search)).drop("_bounds")
+    placed = df.withColumn("_bounds", bounds.scalar()).withColumn(BUCKET, _never_null(F.expr(search)))
+    return placed.drop("_bounds")
+
+
+def _never_null(bucket: Column) -> Column:
+    """Nulls sort first, so they belong in bucket 0. A bucket known not to be null also keeps the optimizer
+    from inferring a null check on it and evaluating the lookup once more on every input row."""
+    return F.coalesce(bucket, F.lit(0))
 
 
 def hash_prefix_bucket(hashed: Column, spark: SparkSession, buckets: int | None = None) -> Column:
     """Order-preserving bucket of a uniform 32-bit hash: its leading bits. Needs no data pass."""
     bits = min((buckets or default_buckets(spark)).bit_length() - 1, HASH_BITS)
-    return F.shiftright(hashed, HASH_BITS - bits)
+    return _never_null(F.shiftright(hashed, HASH_BITS - bits))
 
 
 def group_key(group: list[str]) -> Column:

@@ -15,6 +15,7 @@ from tallyhawk.functions.scalars import is_missing
 from tallyhawk.operators import features
 from tallyhawk.operators.features import FeaturePlan
 from tallyhawk.operators.quantiles import exact_quantiles
+from tallyhawk.session import cached
 
 
 class ColumnGroupSum(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -112,28 +113,53 @@ def median_imputer(columns: list[str], relative_error: float = 0.0) -> Estimator
     return Imputer(strategy="median", inputCols=columns, outputCols=columns, relativeError=relative_error)
 
 
-def preprocessing(plan: FeaturePlan, components: int | None = 20, relative_error: float = 0.0) -> Pipeline:
-    """Impute, engineer, zero-fill, assemble, standardise, min-max scale and (optionally) project."""
+def row_stages(
+    plan: FeaturePlan, relative_error: float = 0.0, invalid: str = "error"
+) -> list[Estimator | Transformer]:
+    """Impute, engineer, zero-fill and assemble into ``raw_features``.
+
+    Zero-filling leaves nothing invalid to assemble. ``invalid="skip"`` therefore drops no row either, but
+    its filter on all features is pushed towards the scan and computes every feature a second time.
+    """
     fields = {name: getattr(plan, name) for name in plan.__dataclass_fields__}
-    stages = [
+    return [
         median_imputer(plan.imputed, relative_error),
         ColumnGroupSum(groups=plan.groups),
         RowFeatures(plan=fields),
         ZeroFill(columns=plan.names),
-        VectorAssembler(inputCols=plan.names, outputCol="raw_features", handleInvalid="skip"),
+        VectorAssembler(inputCols=plan.names, outputCol="raw_features", handleInvalid=invalid),
+    ]
+
+
+def vector_stages(components: int | None = 20) -> list[Estimator]:
+    """Standardise, min-max scale and (optionally) project ``raw_features``."""
+    stages: list[Estimator] = [
         StandardScaler(inputCol="raw_features", outputCol="std_features", withMean=True, withStd=True),
         MinMaxScaler(inputCol="raw_features", outputCol="mm_features"),
     ]
     if components:
         stages.append(PCA(k=components, inputCol="std_features", outputCol="pca_features"))
-    return Pipeline(stages=stages)
+    return stages
 
 
 def fit_preprocessing(
     train: DataFrame, plan: FeaturePlan, components: int | None = 20, relative_error: float = 0.0
 ) -> PipelineModel:
-    """Fit on the training split only, so nothing of the other splits leaks into medians or scales."""
-    return preprocessing(plan, components, relative_error).fit(train)
+    """Fit on the training split only, so nothing of the other splits leaks into medians or scales.
+
+    Only the columns of the plan are read. The assembled vectors are cached while the vector stages make
+    their passes, so rows are prepared twice in all (medians, vectors) and not once per stage.
+    """
+    used = train.select(*_inputs(train, plan))
+    rows = Pipeline(stages=row_stages(plan, relative_error)).fit(used)
+    with cached(rows.transform(used).select("raw_features")) as vectors:
+        scaled = Pipeline(stages=vector_stages(components)).fit(vectors)
+    return PipelineModel(stages=[*rows.stages, *scaled.stages])
+
+
+def _inputs(df: DataFrame, plan: FeaturePlan) -> list[str]:
+    sources = {*plan.imputed, *plan.pairs_given}
+    return [c for c in df.columns if c in sources]
 
 
 def feature_registry(df: DataFrame, vector: str) -> DataFrame:

@@ -44,7 +44,7 @@ def _narrowed_counts(df: DataFrame, cols: list[str], probs: list[float]) -> Data
     structs = []
     for i, c in enumerate(cols):
         value = present(F.col(c).cast("double"))
-        edge = sketch.getField(f"c{i}")
+        edge = F.col("_sketch")[f"c{i}"]
         gap = F.lit(-1)  # inside a band
         inside = F.lit(False)
         passed = F.lit(0)
@@ -60,7 +60,8 @@ def _narrowed_counts(df: DataFrame, cols: list[str], probs: list[float]) -> Data
                 value.alias("value"),
             )
         )
-    long = df.select(F.explode(F.array(*structs)).alias("_p")).select("_p.*").filter(F.col("value").isNotNull())
+    marked = df.select(*cols).withColumn("_sketch", sketch)
+    long = marked.select(F.explode(F.array(*structs)).alias("_p")).select("_p.*").filter(F.col("value").isNotNull())
     return long.groupBy("feature", "gap", "key").agg(
         F.min("value").alias("value"), F.max("value").alias("value_max"), F.count(F.lit(1)).alias("n")
     )
@@ -140,7 +141,7 @@ def exact_quantiles(
         counts = value_counts(df, cols, by).withColumn("value_max", F.col("value"))
     else:
         counts = _narrowed_counts(df, cols, probs)
-    ranked = running_totals(quantile_bucket(counts, "value"), [*by, "feature"], [F.asc("value")], ["n"])
+    ranked = running_totals(quantile_bucket(counts, "value", ["n"]), [*by, "feature"], [F.asc("value")], ["n"])
     return select_ranks(ranked, by, probs, method)
 
 
@@ -148,7 +149,7 @@ def box_statistics(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (outermost values inside the fences) and outlier count per group."""
     keys = [*by, "feature"]
     counts = value_counts(df, cols, by).withColumn("value_max", F.col("value"))
-    bucketed = quantile_bucket(counts, "value")
+    bucketed = quantile_bucket(counts, "value", ["n"])
     ranked = running_totals(bucketed, keys, [F.asc("value")], ["n"])
     quartiles = select_ranks(ranked, by, [0.25, 0.5, 0.75], "linear").groupBy(*keys)
     quartiles = quartiles.agg(

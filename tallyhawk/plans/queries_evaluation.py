@@ -171,7 +171,7 @@ def e8(spark, sf_dir):
 @query(
     "e11_model_ranking",
     f"WITH {CELLS}, m AS (SELECT model, ROUND({F1_SQL},6) AS f1, 500*tp-50*fp-2000*fn AS total_value FROM cells) "
-    "SELECT *, rank() OVER (ORDER BY f1 DESC, model) AS rank_f1, rank() OVER (ORDER BY total_value DESC, model) AS rank_total_value FROM m",
+    "SELECT *, (rank() OVER (ORDER BY f1 DESC, model))::INT AS rank_f1, (rank() OVER (ORDER BY total_value DESC, model))::INT AS rank_total_value FROM m",
 )
 def e11(spark, sf_dir):
     cells = metrics.confusion(scored_entities(spark, sf_dir))

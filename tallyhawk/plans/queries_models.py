@@ -169,7 +169,7 @@ def l5(spark, sf_dir):
 
 @query("l6_fold_stability")
 def l6(spark, sf_dir):
-    return rounded(models.grid_search(models.boosted_trees(iterations=3), {}, folded(spark, sf_dir, 5), KEY))
+    return rounded(models.grid_search(models.boosted_trees(iterations=3), {}, folded(spark, sf_dir, 5), KEY, parallelism=4))
 
 
 @query("l7_small_sample_baseline")
