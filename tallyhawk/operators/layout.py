@@ -10,11 +10,9 @@ SKEW_LIMIT = 2.0
 def hash_repartition(df: DataFrame, n: int, *cols: str, salt_key: str | None = None) -> DataFrame:
     """Hash-partition into ``n``. With ``salt_key``, rows of one hot value spread over all partitions.
 
-    A column with two values fills at most two partitions; adding the row key as salt fills all.
+    A column with two values fills at most two partitions; hashing the row key along with it fills all.
     """
-    if salt_key is None:
-        return df.repartition(n, *cols)
-    return df.repartition(n, *cols, F.pmod(F.xxhash64(salt_key), F.lit(n)))
+    return df.repartition(n, *cols, *([salt_key] if salt_key else []))
 
 
 def round_robin(df: DataFrame, n: int) -> DataFrame:
