@@ -6,7 +6,7 @@ running counts over a global order without a single-task window (see ``prefix``)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.operators.prefix import BUCKET, quantile_bucket, running_totals
 
@@ -64,22 +64,26 @@ def roc_points(scored: DataFrame, every: int = 1, drop_collinear: bool = False,
     counts = threshold_counts(scored, by)
     if drop_collinear:
         counts = _corners(counts, by)
-    kept = counts.filter((F.col("place") % every == 0) | (F.col("place") == F.col("places")))
-    points = kept.select(
-        by,
-        "place",
-        F.col("score").alias("threshold"),
-        F.try_divide(F.col("fp"), F.col("negatives")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("positives")).alias("tpr"),
-    )
-    origin = counts.filter(F.col("place") == 1).select(
-        by,
-        F.lit(0).cast("bigint").alias("place"),
-        F.lit(float("inf")).alias("threshold"),
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
+    wanted = (F.col("place") % every == 0) | (F.col("place") == F.col("places"))
+    point = _point(
+        F.col("place"),
+        F.col("score"),
+        fpr=F.try_divide(F.col("fp"), F.col("negatives")),
+        tpr=F.try_divide(F.col("tp"), F.col("positives")),
     )
-    return origin.unionByName(points)
+    origin = _point(F.lit(0), F.lit(float("inf")), fpr=F.lit(0.0), tpr=F.lit(0.0))
+    return _emit(counts, by, [(F.col("place") == 1, origin), (wanted, point)])
+
+
+def _point(place: Column, threshold: Column, **values: Column) -> Column:
+    named = [value.cast("double").alias(name) for name, value in values.items()]
+    return F.struct(place.cast("bigint").alias("place"), threshold.cast("double").alias("threshold"), *named)
+
+
+def _emit(counts: DataFrame, by: str, points: list[tuple[Column, Column]]) -> DataFrame:
+    """The points whose condition a row meets. A union of two branches would read the data twice."""
+    candidates = F.array(*[F.when(condition, point) for condition, point in points])
+    return counts.select(by, F.explode(F.array_compact(candidates)).alias("_p")).select(by, "_p.*")
 
 
 def _corners(counts: DataFrame, by: str) -> DataFrame:
@@ -109,22 +113,15 @@ def pr_points(scored: DataFrame, every: int = 1, by: str = "model") -> DataFrame
     n-th point and always the final one.
     """
     counts = threshold_counts(scored, by)
-    numbered = counts.withColumn("at", F.col("places") - F.col("place"))
-    points = numbered.filter(F.col("at") % every == 0).select(
-        by,
-        F.col("at").alias("place"),
-        F.col("score").alias("threshold"),
-        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("positives")).alias("recall"),
-    )
-    end = counts.filter(F.col("place") == 1).select(
-        by,
-        F.col("places").alias("place"),
-        F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"),
-        F.lit(0.0).alias("recall"),
+    at = F.col("places") - F.col("place")
+    point = _point(
+        at,
+        F.col("score"),
+        precision=F.col("tp") / (F.col("tp") + F.col("fp")),
+        recall=F.try_divide(F.col("tp"), F.col("positives")),
     )
-    return points.unionByName(end)
+    end = _point(F.col("places"), F.lit(None), precision=F.lit(1.0), recall=F.lit(0.0))
+    return _emit(counts, by, [(F.col("place") == 1, end), (at % every == 0, point)])
 
 
 def with_area(points: DataFrame, areas: DataFrame, area: str, by: str = "model") -> DataFrame:

@@ -157,8 +157,9 @@ def box_statistics(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
           for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
     )
     # Quartiles reach the values through the bucket table, so the join key is never just the group.
-    homes = bucketed.select(*keys, BUCKET).distinct()
-    facts = _null_safe_join(homes, quartiles, keys)
+    # Summing the counts keeps them in this branch too, which then reads the same shuffle as the others.
+    homes = bucketed.groupBy(*keys, BUCKET).agg(F.sum("n").alias("_rows")).filter(F.col("_rows") > 0)
+    facts = _null_safe_join(homes.drop("_rows"), quartiles, keys)
     placed = _null_safe_join(bucketed, facts, [*keys, BUCKET])
     iqr = F.col("q3") - F.col("q1")
     inside = F.col("value").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)

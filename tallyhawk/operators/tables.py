@@ -13,6 +13,17 @@ def enrich(df: DataFrame, dimension: DataFrame, on: str, max_rows: int = BROADCA
     return df.join(F.broadcast(dimension) if small else dimension, on, "left")
 
 
+def enrich_constant(df: DataFrame, dimension: DataFrame, on: str, value) -> DataFrame:
+    """Add the literal key ``on`` and the attributes of its one dimension row, null if there is none.
+
+    With a constant key there is nothing to join: the attributes come from a scalar subquery.
+    """
+    attributes = [c for c in dimension.columns if c != on]
+    row = dimension.filter(F.col(on) == value).agg(F.first(F.struct(*attributes)).alias("_row")).scalar()
+    out = df.withColumn(on, F.lit(value)).withColumn("_row", row)
+    return out.withColumns({c: F.col("_row")[c] for c in attributes}).drop("_row")
+
+
 def stack(*frames: DataFrame) -> DataFrame:
     """Bag union by column name; all frames must have the same columns."""
     out = frames[0]

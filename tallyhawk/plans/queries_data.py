@@ -561,8 +561,8 @@ def p10(spark, sf_dir):
 )
 def p11(spark, sf_dir):
     kinds = dimensions.literal_table(spark, KIND_DIMENSION, KIND_SCHEMA)
-    keyed = entities(spark, sf_dir).select("entity_id", "n_click").withColumn("event_type", F.lit("click"))
-    return tables.enrich(keyed, kinds, "event_type").select("entity_id", "n_click", "event_type", "category")
+    base = entities(spark, sf_dir).select("entity_id", "n_click")
+    return tables.enrich_constant(base, kinds, "event_type", "click").drop("description")
 
 
 @query(
