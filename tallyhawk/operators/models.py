@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
@@ -98,14 +99,18 @@ class Trained:
     seconds: dict[str, float] = field(default_factory=dict)
 
 
-def fit_all(train: DataFrame, estimators: dict[str, Estimator]) -> Trained:
-    """Fit each estimator on the same training rows, which are cached once for all of them."""
+def fit_all(train: DataFrame, estimators: dict[str, Estimator], cache: bool = False) -> Trained:
+    """Fit each estimator on the same training rows and time it.
+
+    Solvers keep their own blocks of the rows they read, so stored splits are best left uncached here;
+    ``cache`` is for training rows that are costly to derive.
+    """
     ensure_checkpoint_dir(train.sparkSession)
     out = Trained()
     used = {e.getOrDefault(p) for e in estimators.values() for p in (e.featuresCol, e.labelCol)}
     used |= {e.getOrDefault(e.weightCol) for e in estimators.values() if e.isDefined(e.weightCol)}
-    with cached(train.select(*sorted(used))) as rows:
-        rows.count()
+    rows = train.select(*sorted(used))
+    with cached(rows) if cache else nullcontext():
         for name, estimator in estimators.items():
             start = time.perf_counter()
             out.models[name] = estimator.fit(rows)
@@ -220,7 +225,8 @@ def small_sample_baseline(
 ) -> Trained:
     """Weighted logistic regression on a stratified sample, with the weights of that sample."""
     sample = stratified_sample(train.drop("class_weight"), key, label, fraction)
-    return fit_all(class_weights(sample, label), {"baseline": logistic_regression(label=label, max_iter=max_iter)})
+    weighted = class_weights(sample, label)
+    return fit_all(weighted, {"baseline": logistic_regression(label=label, max_iter=max_iter)}, cache=True)
 
 
 def learning_curve(

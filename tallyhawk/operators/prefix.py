@@ -14,12 +14,23 @@ from tallyhawk.functions.hashing import HASH_BITS
 
 BUCKET = "_bucket"
 GROUP = "_group"
+RADIX = 8
+MOST_BUCKETS = RADIX**4
 
 
 def default_buckets(spark: SparkSession) -> int:
-    """Four buckets per shuffle partition, as a power of two, so buckets balance across tasks."""
-    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << max(wanted - 1, 1).bit_length()
+    """At least two buckets per shuffle partition, so that they balance across tasks.
+
+    4,096 at most: that keeps the array of bounds at 32 KB, and 10^11 distinct values at 24 million a bucket.
+    """
+    return min(_power_of_radix(2 * int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
+
+
+def _power_of_radix(wanted: int) -> int:
+    buckets = RADIX
+    while buckets < wanted:
+        buckets *= RADIX
+    return buckets
 
 
 def quantile_bucket(df: DataFrame, order: str, counts: list[str], buckets: int | None = None) -> DataFrame:
@@ -28,21 +39,23 @@ def quantile_bucket(df: DataFrame, order: str, counts: list[str], buckets: int |
     ``df`` is already grouped, so that (group, value) hardly repeats and buckets balance; ``counts`` are
     its aggregate columns. The bounds come from a scalar subquery that also looks at the counts: it then
     needs the very columns the main plan needs, and reads the same shuffle instead of scanning again.
-    The lookup is a binary search in about log2(buckets) steps.
+    The number of buckets is rounded up to a power of eight. The lookup descends by one octal digit per
+    level, with seven comparisons each, and stays inside generated code.
     """
-    buckets = buckets or default_buckets(df.sparkSession)
+    buckets = _power_of_radix(buckets) if buckets else default_buckets(df.sparkSession)
     cuts = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     used = sum((F.col(c) for c in counts[1:]), F.col(counts[0])) > -1
     accuracy = max(10_000, 20 * buckets)
     bounds = df.filter(used).agg(F.expr(f"percentile_approx(`{order}`, array({cuts}), {accuracy})"))
-    steps = max(buckets - 1, 1).bit_length()
-    search = (
-        f"aggregate(sequence({steps - 1}, 0, -1), 0, (pos, step) -> "
-        f"if(pos + shiftleft(1, step) <= size(_bounds) "
-        f"and get(_bounds, pos + shiftleft(1, step) - 1) <= `{order}`, pos + shiftleft(1, step), pos))"
-    )
-    placed = df.withColumn("_bounds", bounds.scalar()).withColumn(BUCKET, _never_null(F.expr(search)))
-    return placed.drop("_bounds")
+    placed = df.withColumn("_bounds", bounds.scalar()).withColumn("_at", F.lit(0))
+    stride = buckets // RADIX
+    while stride:
+        passed = " + ".join(
+            f"cast(get(_bounds, _at + {step * stride - 1}) <= `{order}` as int)" for step in range(1, RADIX)
+        )
+        placed = placed.withColumn("_at", F.expr(f"_at + {stride} * ({passed})"))
+        stride //= RADIX
+    return placed.withColumn(BUCKET, _never_null(F.col("_at"))).drop("_bounds", "_at")
 
 
 def _never_null(bucket: Column) -> Column:
@@ -95,7 +108,10 @@ def running_totals(
 
 
 def rank_by_hash(df: DataFrame, strata: list[str], hashed: Column, key: str) -> DataFrame:
-    """Add ``rank`` (1-based, by hash then key, within the stratum) and ``stratum_rows``."""
+    """Add ``rank`` (1-based, by hash then key, within the stratum) and ``stratum_rows``.
+
+    ``key`` identifies a row. Hash buckets then hold equal shares of every stratum, however large it is.
+    """
     bucketed = df.withColumn("_hash", hashed)
     bucketed = bucketed.withColumn(BUCKET, hash_prefix_bucket(F.col("_hash"), df.sparkSession))
     bucketed = bucketed.withColumn("_one", F.lit(1).cast("bigint"))

@@ -126,5 +126,6 @@ def bootstrap_weights(df: DataFrame, key: str, replicates: int) -> DataFrame:
     ``bootstrap.cell_bootstrap`` has the same distribution at a cost that does not depend on the rows.
     """
     spread = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    weighted = spread.withColumn("weight", poisson_one(unit_hash(key, F.col("replicate"))))
-    return weighted.filter(F.col("weight") > 0)
+    # As a column of its own the hash is computed once, not once per comparison.
+    drawn = spread.withColumn("_u", unit_hash(key, F.col("replicate")))
+    return drawn.withColumn("weight", poisson_one(F.col("_u"))).drop("_u").filter(F.col("weight") > 0)

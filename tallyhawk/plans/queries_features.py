@@ -140,6 +140,30 @@ def p14_all(spark, sf_dir):
     )
 
 
+def feature_table_sql() -> str:
+    """``features``: all features of the plan in order, and ``long``: their training rows as (entity_id, feature, x)."""
+    pairs = ", ".join(
+        f"({a}*{b})::DOUBLE AS {a}_{b}_interaction, {a}/({b}+1)::DOUBLE AS {a}_{b}_ratio" for a, b in combinations(PAIRED, 2)
+    )
+    powers = ", ".join(
+        f"({c}*{c})::DOUBLE AS {c}_squared, ({c}*{c}*{c})::DOUBLE AS {c}_cubed, ln(1+{c}) AS {c}_log" for c in PLAN.powers
+    )
+    exact = ENTITIES + _statistics_sql().removeprefix(ENTITIES).replace("ROUND(", "(").replace(",6)", ")")
+    counts = ", ".join(f"e.{c}::DOUBLE AS {c}" for c in COUNTS)
+    sums = ", ".join(f"({'+'.join('e.' + c for c in members)})::DOUBLE AS {name}" for name, members in GROUPS.items())
+    return (
+        f"{exact}, wide AS (SELECT e.entity_id, {counts}, s.* EXCLUDE (entity_id), {sums}, e.sum_value "
+        "FROM entities e JOIN statistics s USING (entity_id)), "
+        "features AS (SELECT *, CASE WHEN total_events>0 THEN cat_error/total_events ELSE 0 END AS error_ratio, "
+        "ln(1+total_events) AS log_total_events, ln(1+cat_engage) AS log_cat_engage, ln(1+cat_error) AS log_cat_error, "
+        "CASE WHEN cat_error>0 THEN 1.0 ELSE 0.0 END::DOUBLE AS has_error, "
+        f"CASE WHEN event_sparsity>0.7 THEN 1.0 ELSE 0.0 END::DOUBLE AS high_sparsity, {pairs}, {powers} FROM wide), "
+        f"long AS (SELECT entity_id, name, x FROM (SELECT * FROM features WHERE {bucket_sql('entity_id')} < 6000) "
+        f"UNPIVOT (x FOR name IN ({', '.join(PLAN.names)}))), "
+        f"places AS (SELECT UNNEST({PLAN.names!r}) AS name, UNNEST(range({len(PLAN.names)}))::INT AS idx)"
+    )
+
+
 # Samples, splits, weights
 
 

