@@ -1,4 +1,4 @@
-"""Distributed classifiers with the reference defaults, batch scoring, importances, learning curves."""
+"""Distributed classifiers with published settings as defaults, batch scoring, importances, learning curves."""
 
 from __future__ import annotations
 

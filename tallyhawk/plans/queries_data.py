@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallyhawk.functions.scalars import percent
 from tallyhawk.operators import explore, layout, quality, quantiles, tables
 from tallyhawk.operators.quality import Expectations
-from tallyhawk.plans.entities import GROUPS, entities
+from tallyhawk.plans.entities import entities
 from tallyhawk.plans.registry import ENTITIES, GAPPY, bucket_sql, query, rounded
 from tallyhawk.functions.hashing import key_bucket
 from tallyhawk.session import cached, cut_lineage, ensure_checkpoint_dir, scratch_path

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhawk.operators import curves, metrics, models, preprocessing, quality, sampling, tables
+from tallyhawk.operators import metrics, models, preprocessing, quality, sampling
 from tallyhawk.plans.entities import PLAN, labelled_splits, split_frame
 from tallyhawk.plans.queries_features import SPLIT, feature_table_sql
 from tallyhawk.plans.registry import ENTITIES, query, rounded
