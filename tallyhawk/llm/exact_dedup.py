@@ -53,9 +53,9 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", counters: int = heavy.COUNTERS) -> DataFrame:
     """``docs`` without copies, all columns kept. Losers of hot groups are removed before the shuffle."""
     digests = docs.select(F.struct(doc_id).alias("_order"), digest(text).alias("_digest"))
-    winners = F.broadcast(_winners(cut_lineage(digests), counters))
+    winners = F.broadcast(_winners(cut_lineage(digests), counters).drop("group_size"))
     tagged = docs.withColumn("_digest", digest(text)).join(winners, "_digest", "left")
     maybe = tagged.filter(F.col("_best").isNull() | F.col(doc_id).eqNullSafe(F.col("_best").getField(doc_id)))
-    maybe = maybe.drop("_best", "group_size")
+    maybe = maybe.drop("_best")
     best = Window.partitionBy("_digest").orderBy(F.desc_nulls_last(doc_id), F.xxhash64(*[F.col(c) for c in docs.columns]))
     return maybe.withColumn("_place", F.row_number().over(best)).filter("_place = 1").select(*docs.columns)

@@ -104,9 +104,10 @@ def count_kind(spans: str, kind: str) -> F.Column:
 def redact(docs: DataFrame, ledger: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with each finding's text replaced by ``[kind]`` (overlapping findings by the first's), n_chars kept true."""
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
-    found = scan(docs, ledger, doc_id, text).filter(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("_spans"))
+    found = scan(docs, ledger, doc_id, text).filter(F.size("spans") > 0)
+    found = found.groupBy(F.col("blob").alias("_blob")).agg(F.first("spans").alias("_spans"))
     # findings are joined by content, to rows that have any only
-    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text)))).join(found, F.col("_blob") == found["blob"], "left")
+    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text)))).join(found, "_blob", "left")
     last = lambda done: done["at"]
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda done, s: F.when(
