@@ -21,7 +21,8 @@ MOST_BUCKETS = RADIX**4
 def default_buckets(spark: SparkSession) -> int:
     """At least two buckets per shuffle partition, so that they balance across tasks.
 
-    4,096 at most: that keeps the array of bounds at 32 KB, and 10^11 distinct values at 24 million a bucket.
+    For value buckets, 4,096 at most: that keeps the array of bounds at 32 KB, and 10^11 distinct values at 24 million
+    a bucket. Hash buckets have no such bound.
     """
     return min(_power_of_radix(2 * int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
 
@@ -65,8 +66,9 @@ def _never_null(bucket: Column) -> Column:
 
 
 def hash_prefix_bucket(hashed: Column, spark: SparkSession, buckets: int | None = None) -> Column:
-    """Order-preserving bucket of a uniform 32-bit hash: its leading bits. Needs no data pass."""
-    bits = min((buckets or default_buckets(spark)).bit_length() - 1, HASH_BITS)
+    """Order-preserving bucket of a uniform hash: its leading bits. Needs no data pass, and no cap on the buckets."""
+    buckets = buckets or _power_of_radix(2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bits = min(buckets.bit_length() - 1, HASH_BITS)
     return _never_null(F.shiftright(hashed, HASH_BITS - bits))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, MinMaxScaler, PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import MinMaxScaler, PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -106,15 +106,8 @@ class MedianImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         )
 
 
-def median_imputer(columns: list[str], relative_error: float = 0.0) -> Estimator:
-    """Exact medians, or MLlib's sketch-based imputer where an error is allowed."""
-    if relative_error == 0.0:
-        return MedianImputer(columns=columns)
-    return Imputer(strategy="median", inputCols=columns, outputCols=columns, relativeError=relative_error)
-
-
 def row_stages(
-    plan: FeaturePlan, relative_error: float = 0.0, invalid: str = "error"
+    plan: FeaturePlan, invalid: str = "error"
 ) -> list[Estimator | Transformer]:
     """Impute, engineer, zero-fill and assemble into ``raw_features``.
 
@@ -123,7 +116,7 @@ def row_stages(
     """
     fields = {name: getattr(plan, name) for name in plan.__dataclass_fields__}
     return [
-        median_imputer(plan.imputed, relative_error),
+        MedianImputer(columns=plan.imputed),
         ColumnGroupSum(groups=plan.groups),
         RowFeatures(plan=fields),
         ZeroFill(columns=plan.names),
@@ -143,7 +136,7 @@ def vector_stages(components: int | None = 20) -> list[Estimator]:
 
 
 def fit_preprocessing(
-    train: DataFrame, plan: FeaturePlan, components: int | None = 20, relative_error: float = 0.0
+    train: DataFrame, plan: FeaturePlan, components: int | None = 20
 ) -> PipelineModel:
     """Fit on the training split only, so nothing of the other splits leaks into medians or scales.
 
@@ -151,7 +144,7 @@ def fit_preprocessing(
     their passes, so rows are prepared twice in all (medians, vectors) and not once per stage.
     """
     used = train.select(*_inputs(train, plan))
-    rows = Pipeline(stages=row_stages(plan, relative_error)).fit(used)
+    rows = Pipeline(stages=row_stages(plan)).fit(used)
     with cached(rows.transform(used).select("raw_features")) as vectors:
         scaled = Pipeline(stages=vector_stages(components)).fit(vectors)
     return PipelineModel(stages=[*rows.stages, *scaled.stages])

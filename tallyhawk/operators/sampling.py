@@ -1,6 +1,7 @@
 """Samples, splits, folds, class weights, oversampling and bootstrap weights.
 
-All choices hang on a hash of the row key, so they do not change when rows move between partitions.
+All choices hang on a hash of the row key, so they do not change when rows move between partitions. Splits, samples and
+folds hash with salts of their own: a sample of a split has its share of it.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from math import isclose
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhawk.functions.hashing import BUCKETS, key_bucket, key_hash, poisson_one, unit_hash
+from tallyhawk.functions.hashing import hash_bound, key_bucket, key_hash, poisson_one, salt_for, unit_hash
 from tallyhawk.functions.scalars import percent
 from tallyhawk.operators.prefix import rank_by_hash
 from tallyhawk.operators.quality import class_pair
@@ -19,19 +20,19 @@ LADDER = (0.1, 0.2, 0.4, 0.6, 0.8, 1.0)
 
 def bernoulli_sample(df: DataFrame, key: str, fraction: float, seed: int | None = None) -> DataFrame:
     """Each key is in or out by its hash; samples of growing fractions are nested."""
-    return df.filter(key_bucket(key, salt=seed) < round(fraction * BUCKETS))
+    return df.filter(key_hash(key, salt_for("sample", seed)) < hash_bound(fraction))
 
 
 def stratified_sample(df: DataFrame, key: str, label: str, fraction: float, seed: int | None = None) -> DataFrame:
     """The first ceil(fraction * n) keys of each class in hash order: exact shares in every class."""
-    ranked = rank_by_hash(df, [label], key_hash(key, seed), key)
+    ranked = rank_by_hash(df, [label], key_hash(key, salt_for("sample", seed)), key)
     return ranked.filter(F.col("rank") <= F.ceil(F.col("stratum_rows") * fraction)).drop("rank", "stratum_rows")
 
 
 def fraction_ladder(df: DataFrame, key: str, fractions: tuple[float, ...] = LADDER, seed: int | None = None) -> DataFrame:
     """One pass: each row once per fraction that admits it, tagged ``frac``; the samples are nested."""
-    bucket = key_bucket(key, salt=seed)
-    bounds = F.array(*[F.struct(F.lit(f).alias("frac"), F.lit(round(f * BUCKETS)).alias("bound")) for f in fractions])
+    bucket = key_hash(key, salt_for("sample", seed))
+    bounds = F.array(*[F.struct(F.lit(f).alias("frac"), F.lit(hash_bound(f)).alias("bound")) for f in fractions])
     admitted = F.filter(bounds, lambda step: F.col("_bucket") < step["bound"])
     tagged = df.withColumn("_bucket", bucket).withColumn("_step", F.explode(admitted))
     return tagged.withColumn("frac", F.col("_step.frac")).drop("_bucket", "_step")
@@ -47,13 +48,13 @@ def split_by_key(
     weights = weights or {"train": 0.6, "val": 0.2, "test": 0.2}
     if not isclose(sum(weights.values()), 1.0):
         raise ValueError("split weights must add up to 1")
-    df = df.withColumn("_bucket", key_bucket(key, salt=seed))
+    df = df.withColumn("_bucket", key_hash(key, salt_for("split", seed)))
     names = list(weights)
     choice: Column = F.lit(names[-1])
     bound = sum(weights.values())
     for name, following in zip(reversed(names[:-1]), reversed(names[1:])):
         bound -= weights[following]
-        choice = F.when(F.col("_bucket") < round(bound * BUCKETS), name).otherwise(choice)
+        choice = F.when(F.col("_bucket") < hash_bound(bound), name).otherwise(choice)
     return df.withColumn("split", choice).drop("_bucket")
 
 
@@ -95,11 +96,13 @@ def oversample_minority(
     return out.repartition(partitions) if partitions else out
 
 
-def class_weights(df: DataFrame, label: str = "label", out: str = "class_weight") -> DataFrame:
-    """Attach (n0+n1)/(2 n_class) per row; a table with only one class is an error."""
+def class_weights(
+    df: DataFrame, label: str = "label", out: str = "class_weight", counted: DataFrame | None = None
+) -> DataFrame:
+    """Attach (n0+n1)/(2 n_class) per row, counted over ``counted`` if given; only one class is an error."""
     n0, n1 = F.col("n0"), F.col("n1")
     one_class = F.raise_error(F.lit("class weights need rows of both classes")).cast("double")
-    pair = class_pair(df, label).select(
+    pair = class_pair(df if counted is None else counted, label).select(
         F.struct(
             F.when(n0 * n1 == 0, one_class).otherwise((n0 + n1) / (2 * n0)).alias("w0"),
             F.when(n0 * n1 == 0, one_class).otherwise((n0 + n1) / (2 * n1)).alias("w1"),
@@ -110,12 +113,12 @@ def class_weights(df: DataFrame, label: str = "label", out: str = "class_weight"
 
 def hash_folds(df: DataFrame, key: str, folds: int, seed: int | None = None) -> DataFrame:
     """Fold by key hash alone: no shuffle, classes balanced in expectation."""
-    return df.withColumn("fold", key_bucket(key, folds, seed).cast("int"))
+    return df.withColumn("fold", key_bucket(key, folds, salt_for("fold", seed)).cast("int"))
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, folds: int, seed: int | None = None) -> DataFrame:
     """Fold = rank by key hash within the class, modulo ``folds``: class counts differ by at most one."""
-    ranked = rank_by_hash(df, [label], key_hash(key, seed), key)
+    ranked = rank_by_hash(df, [label], key_hash(key, salt_for("fold", seed)), key)
     return ranked.withColumn("fold", F.pmod(F.col("rank") - 1, F.lit(folds)).cast("int")).drop("rank", "stratum_rows")
 
 

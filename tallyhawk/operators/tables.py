@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-BROADCAST_ROWS = 100_000
 
-
-def enrich(df: DataFrame, dimension: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Left join to a dimension. It is broadcast if a bounded count proves it small, else joined by shuffle."""
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(dimension) if small else dimension, on, "left")
+def enrich(df: DataFrame, dimension: DataFrame, on: str) -> DataFrame:
+    """Left join to a dimension. Spark broadcasts it if its size is below the session's threshold, else shuffles."""
+    return df.join(dimension, on, "left")
 
 
 def enrich_constant(df: DataFrame, dimension: DataFrame, on: str, value) -> DataFrame:

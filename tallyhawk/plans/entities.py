@@ -39,7 +39,7 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.sum("value"), 2).alias("sum_value"),
         F.max((F.col("value") >= 200).cast("int")).alias("label"),
     )
-    entity_id = F.col("user_id") * 100 + F.dayofmonth("day")
+    entity_id = F.col("user_id") * 100_000 + F.unix_date("day")
     return grouped.select(entity_id.alias("entity_id"), *grouped.columns)
 
 

@@ -8,7 +8,7 @@ from tallyhawk.functions.scalars import percent
 from tallyhawk.operators import explore, layout, quality, quantiles, tables
 from tallyhawk.operators.quality import Expectations
 from tallyhawk.plans.entities import entities
-from tallyhawk.plans.registry import ENTITIES, GAPPY, bucket_sql, query, rounded
+from tallyhawk.plans.registry import ENTITIES, GAPPY, below_sql, bucket_sql, query, rounded
 from tallyhawk.functions.hashing import key_bucket
 from tallyhawk.session import cached, cut_lineage, ensure_checkpoint_dir, scratch_path
 from tallyhawk.sources import dimensions, readers, writers
@@ -113,8 +113,8 @@ def s4_partitioned(spark, sf_dir):
 
 @query(
     "s5_split_parquet",
-    f"WITH {ENTITIES} SELECT entity_id, n_click, label FROM entities WHERE {bucket_sql('entity_id')} >= 6000 "
-    f"AND {bucket_sql('entity_id')} < 8000",
+    f"WITH {ENTITIES} SELECT entity_id, n_click, label FROM entities WHERE NOT {below_sql('entity_id', 'split', 0.6)} "
+    f"AND {below_sql('entity_id', 'split', 0.8)}",
 )
 def s5_splits(spark, sf_dir):
     from tallyhawk.plans.entities import labelled_splits
@@ -168,7 +168,7 @@ def s8_literal(spark, sf_dir):
 
 @query(
     "s9_csv_export",
-    f"SELECT event_id, event_type, value FROM events WHERE {bucket_sql('event_id')} < 100",
+    f"SELECT event_id, event_type, value FROM events WHERE {below_sql('event_id', 'sample', 0.01)}",
 )
 def s9_csv_export(spark, sf_dir):
     from tallyhawk.operators.sampling import bernoulli_sample
@@ -349,7 +349,7 @@ def a9(spark, sf_dir):
 
 @query(
     "a10_class_counts_on_sample",
-    f"WITH {ENTITIES} SELECT label, COUNT(*) AS n FROM entities WHERE {bucket_sql('entity_id')} < 1000 GROUP BY label",
+    f"WITH {ENTITIES} SELECT label, COUNT(*) AS n FROM entities WHERE {below_sql('entity_id', 'sample', 0.1)} GROUP BY label",
 )
 def a10(spark, sf_dir):
     from tallyhawk.operators.sampling import bernoulli_sample
@@ -460,9 +460,9 @@ def a16(spark, sf_dir):
 
 @query(
     "a17_feature_card",
-    f"WITH {ENTITIES}, s AS (SELECT label, {bucket_sql('entity_id')} AS b FROM entities), "
+    f"WITH {ENTITIES}, s AS (SELECT label, {below_sql('entity_id', 'split', 0.6)} AS train, {below_sql('entity_id', 'split', 0.8)} AS early FROM entities), "
     "c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (label=0) AS n0, COUNT(*) FILTER (label=1) AS n1, "
-    "COUNT(*) FILTER (b<6000) AS train, COUNT(*) FILTER (b>=6000 AND b<8000) AS val, COUNT(*) FILTER (b>=8000) AS test FROM s) "
+    "COUNT(*) FILTER (train) AS train, COUNT(*) FILTER (NOT train AND early) AS val, COUNT(*) FILTER (NOT early) AS test FROM s) "
     "SELECT 6::INT AS n_features, 3::INT AS pca_components, ROUND(n/(2.0*n0),6) AS w0, ROUND(n/(2.0*n1),6) AS w1, "
     "train, val, test FROM c",
 )

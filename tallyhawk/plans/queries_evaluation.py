@@ -218,68 +218,47 @@ def e13(spark, sf_dir):
     return quality.metric_range_check(table, ["f1", "accuracy", "total_value"])
 
 
-# Scaling tables. The time of a run is its fullest task's rows, at 1,000 rows per second.
-
-WIDTHS = (2, 4, 8, 16)
-
-
-def _loads(spark, sf_dir, weak: bool):
-    """(partitions, rows, train_time_s) if entities were hashed into each number of partitions."""
-    base = entities(spark, sf_dir).select("entity_id")
-    base = base.withColumn("partitions", F.explode(F.array(*[F.lit(w) for w in WIDTHS])))
-    if weak:
-        base = base.filter(key_bucket("entity_id") < F.col("partitions") * (10_000 // WIDTHS[-1]))
-    task = F.pmod(key_bucket("entity_id", 720_720), "partitions").alias("task")
-    tasks = base.groupBy("partitions", task).agg(F.count(F.lit(1)).alias("n"))
-    table = tasks.groupBy("partitions").agg(F.sum("n").alias("rows"), (F.max("n") / 1000).alias("train_time_s"))
-    return table if weak else table.drop("rows")
-
-
-def _loads_sql(weak: bool) -> str:
-    share = f"WHERE {bucket_sql('entity_id')} < w*625" if weak else ""
-    rows = "SUM(n)::BIGINT" if weak else "NULL::BIGINT"
-    kind = "weak" if weak else "strong"
-    return (
-        f"SELECT w AS partitions, {rows} AS \"rows\", MAX(n)/1000.0::DOUBLE AS train_time_s, '{kind}' AS type FROM ("
-        f"SELECT w, {bucket_sql('entity_id', 720_720)} % w AS task, COUNT(*) AS n FROM entities, widths {share} GROUP BY 1,2) GROUP BY w"
-    )
-
+# Series relative to their first row: the value of orders per priority and year.
 
-TIMINGS = (
-    f"{ENTITIES}, widths AS (SELECT UNNEST([2,4,8,16])::INT AS w), timings AS ({_loads_sql(False)} UNION ALL {_loads_sql(True)})"
+FIRST_YEAR = 1991
+SERIES = (
+    f"series AS (SELECT o_orderpriority AS type, (year(o_orderdate) - {FIRST_YEAR})::INT AS step, COUNT(*) AS \"rows\", "
+    "ROUND(SUM(o_totalprice), 2) AS value FROM orders GROUP BY 1, 2)"
 )
 
 
-def timings(spark, sf_dir):
-    return tables.stack_tagged(
-        {"strong": _loads(spark, sf_dir, False), "weak": _loads(spark, sf_dir, True)}, "type"
-    )
+def yearly_value(spark, sf_dir):
+    from tallyhawk.sources.readers import read_table
+
+    step = (F.year("o_orderdate") - FIRST_YEAR).alias("step")
+    grouped = read_table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("type"), step)
+    return grouped.agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("value"))
 
 
-@query("u2_scaling_runs", f"WITH {TIMINGS} SELECT type, partitions, \"rows\", ROUND(train_time_s,6) AS train_time_s FROM timings")
+@query("u2_scaling_runs", f"WITH {SERIES} SELECT type, step, \"rows\", ROUND(value,6) AS value FROM series")
 def u2_runs(spark, sf_dir):
-    return rounded(timings(spark, sf_dir))
+    return rounded(yearly_value(spark, sf_dir))
 
 
 @query(
     "e12_scaling_table",
-    f"WITH {TIMINGS}, f AS (SELECT *, FIRST_VALUE(train_time_s) OVER v AS t0, FIRST_VALUE(partitions) OVER v AS p0 FROM timings "
-    "WINDOW v AS (PARTITION BY type ORDER BY partitions)) "
-    "SELECT type, partitions, \"rows\", ROUND(train_time_s,6) AS train_time_s, ROUND(t0/(partitions/p0::DOUBLE),6) AS ideal, "
-    "ROUND(t0/train_time_s,6) AS speedup, ROUND(t0/train_time_s/(partitions/p0::DOUBLE),6) AS efficiency FROM f",
+    f"WITH {SERIES}, f AS (SELECT *, FIRST_VALUE(value) OVER v AS t0, FIRST_VALUE(step) OVER v AS p0 FROM series "
+    "WINDOW v AS (PARTITION BY type ORDER BY step)) "
+    "SELECT type, step, \"rows\", ROUND(value,6) AS value, ROUND(t0/(step/p0::DOUBLE),6) AS ideal, "
+    "ROUND(t0/value,6) AS speedup, ROUND(t0/value/(step/p0::DOUBLE),6) AS efficiency FROM f",
 )
 def e12(spark, sf_dir):
-    return rounded(metrics.relative_to_first(timings(spark, sf_dir), "type", "partitions", "train_time_s"))
+    return rounded(metrics.relative_to_first(yearly_value(spark, sf_dir), "type", "step", "value"))
 
 
 @query(
     "w3_first_row_relation",
-    f"WITH {TIMINGS} SELECT type, partitions, ROUND(FIRST_VALUE(train_time_s) OVER v / "
-    "(partitions/(FIRST_VALUE(partitions) OVER v)::DOUBLE),6) AS ideal FROM timings WINDOW v AS (PARTITION BY type ORDER BY partitions)",
+    f"WITH {SERIES} SELECT type, step, ROUND(FIRST_VALUE(value) OVER v / "
+    "(step/(FIRST_VALUE(step) OVER v)::DOUBLE),6) AS ideal FROM series WINDOW v AS (PARTITION BY type ORDER BY step)",
 )
 def w3(spark, sf_dir):
-    out = metrics.relative_to_first(timings(spark, sf_dir), "type", "partitions", "train_time_s")
-    return rounded(out.select("type", "partitions", "ideal"))
+    out = metrics.relative_to_first(yearly_value(spark, sf_dir), "type", "step", "value")
+    return rounded(out.select("type", "step", "ideal"))
 
 
 @query(

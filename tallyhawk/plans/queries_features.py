@@ -6,13 +6,13 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from tallyhawk.functions.hashing import key_hash
+from tallyhawk.functions.hashing import HASH_SPACE, key_hash, poisson_one_cdf
 from tallyhawk.operators import features, preprocessing, sampling
 from tallyhawk.operators.prefix import rank_by_hash
 from tallyhawk.operators.preprocessing import MedianImputer
 from tallyhawk.plans.entities import COUNTS, GROUPS, PLAN, entities, labelled_splits
 from tallyhawk.plans.queries_data import LINE_NUMBERS, gappy_lineitem
-from tallyhawk.plans.registry import ENTITIES, GAPPY, bucket_sql, hash_sql, query, rounded
+from tallyhawk.plans.registry import ENTITIES, GAPPY, below_sql, bucket_sql, hash_sql, query, rounded
 
 SUMS = "n_click+n_view AS cat_engage, n_purchase+n_signup AS cat_convert, n_error AS cat_error"
 SUMMED = ENTITIES + f", summed AS (SELECT *, {SUMS} FROM entities)"
@@ -158,7 +158,7 @@ def feature_table_sql() -> str:
         "ln(1+total_events) AS log_total_events, ln(1+cat_engage) AS log_cat_engage, ln(1+cat_error) AS log_cat_error, "
         "CASE WHEN cat_error>0 THEN 1.0 ELSE 0.0 END::DOUBLE AS has_error, "
         f"CASE WHEN event_sparsity>0.7 THEN 1.0 ELSE 0.0 END::DOUBLE AS high_sparsity, {pairs}, {powers} FROM wide), "
-        f"long AS (SELECT entity_id, name, x FROM (SELECT * FROM features WHERE {bucket_sql('entity_id')} < 6000) "
+        f"long AS (SELECT entity_id, name, x FROM (SELECT * FROM features WHERE {below_sql('entity_id', 'split', 0.6)}) "
         f"UNPIVOT (x FOR name IN ({', '.join(PLAN.names)}))), "
         f"places AS (SELECT UNNEST({PLAN.names!r}) AS name, UNNEST(range({len(PLAN.names)}))::INT AS idx)"
     )
@@ -167,35 +167,36 @@ def feature_table_sql() -> str:
 # Samples, splits, weights
 
 
-@query("m4_bernoulli_sample", f"WITH {ENTITIES} SELECT entity_id, label FROM entities WHERE {bucket_sql('entity_id')} < 200")
+@query("m4_bernoulli_sample", f"WITH {ENTITIES} SELECT entity_id, label FROM entities WHERE {below_sql('entity_id', 'sample', 0.02)}")
 def m4(spark, sf_dir):
     return sampling.bernoulli_sample(entities(spark, sf_dir), "entity_id", 0.02).select("entity_id", "label")
 
 
-RANKED = (
-    f"{ENTITIES}, ranked AS (SELECT entity_id, label, "
-    f"row_number() OVER (PARTITION BY label ORDER BY {hash_sql('entity_id')}, entity_id) AS rn, "
-    "COUNT(*) OVER (PARTITION BY label) AS n FROM entities)"
-)
+def ranked_sql(purpose: str) -> str:
+    return (
+        f"{ENTITIES}, ranked AS (SELECT entity_id, label, "
+        f"row_number() OVER (PARTITION BY label ORDER BY {hash_sql('entity_id', purpose)}, entity_id) AS rn, "
+        "COUNT(*) OVER (PARTITION BY label) AS n FROM entities)"
+    )
 
 
-@query("m5_stratified_sample", f"WITH {RANKED} SELECT entity_id, label FROM ranked WHERE rn <= ceil(n*0.1)")
+@query("m5_stratified_sample", f"WITH {ranked_sql('sample')} SELECT entity_id, label FROM ranked WHERE rn <= ceil(n*0.1)")
 def m5(spark, sf_dir):
     base = entities(spark, sf_dir).select("entity_id", "label")
     return sampling.stratified_sample(base, "entity_id", "label", 0.1)
 
 
-@query("m5_hash_ranks", f"WITH {RANKED} SELECT entity_id, label, rn AS rank, n AS stratum_rows FROM ranked")
+@query("m5_hash_ranks", f"WITH {ranked_sql('sample')} SELECT entity_id, label, rn AS rank, n AS stratum_rows FROM ranked")
 def m5_ranks(spark, sf_dir):
     base = entities(spark, sf_dir).select("entity_id", "label")
-    return rank_by_hash(base, ["label"], key_hash("entity_id"), "entity_id")
+    return rank_by_hash(base, ["label"], key_hash("entity_id", "sample"), "entity_id")
 
 
 @query(
     "m6_fraction_ladder",
     f"WITH {ENTITIES}, f AS (SELECT UNNEST([0.1,0.2,0.4,0.6,0.8,1.0])::DOUBLE AS frac) "
     "SELECT frac, label, COUNT(*) AS n FROM entities JOIN f ON "
-    f"{bucket_sql('entity_id')} < frac*10000 GROUP BY frac, label",
+    f"{hash_sql('entity_id', 'sample')} < CAST(frac*{HASH_SPACE}::DOUBLE AS BIGINT) GROUP BY frac, label",
 )
 def m6(spark, sf_dir):
     ladder = sampling.fraction_ladder(entities(spark, sf_dir).select("entity_id", "label"), "entity_id")
@@ -203,8 +204,8 @@ def m6(spark, sf_dir):
 
 
 SPLIT = (
-    f"{ENTITIES}, parts AS (SELECT entity_id, label, CASE WHEN {bucket_sql('entity_id')} < 6000 THEN 'train' "
-    f"WHEN {bucket_sql('entity_id')} < 8000 THEN 'val' ELSE 'test' END AS split FROM entities)"
+    f"{ENTITIES}, parts AS (SELECT entity_id, label, CASE WHEN {below_sql('entity_id', 'split', 0.6)} THEN 'train' "
+    f"WHEN {below_sql('entity_id', 'split', 0.8)} THEN 'val' ELSE 'test' END AS split FROM entities)"
 )
 
 
@@ -247,7 +248,7 @@ def m10(spark, sf_dir):
     return rounded(sampling.class_weights(entities(spark, sf_dir).select("entity_id", "label")))
 
 
-@query("m11_stratified_folds", f"WITH {RANKED} SELECT entity_id, label, ((rn-1)%5)::INT AS fold FROM ranked")
+@query("m11_stratified_folds", f"WITH {ranked_sql('fold')} SELECT entity_id, label, ((rn-1)%5)::INT AS fold FROM ranked")
 def m11(spark, sf_dir):
     base = entities(spark, sf_dir).select("entity_id", "label")
     return sampling.stratified_folds(base, "entity_id", "label", 5)
@@ -255,15 +256,15 @@ def m11(spark, sf_dir):
 
 @query(
     "m11_hash_folds",
-    f"WITH {ENTITIES} SELECT entity_id, label, {bucket_sql('entity_id', 3)}::INT AS fold FROM entities",
+    f"WITH {ENTITIES} SELECT entity_id, label, {bucket_sql('entity_id', 3, 'fold')}::INT AS fold FROM entities",
 )
 def m11_hash(spark, sf_dir):
     return sampling.hash_folds(entities(spark, sf_dir).select("entity_id", "label"), "entity_id", 3)
 
 
 POISSON = (
-    "CASE WHEN u<0.367879 THEN 0 WHEN u<0.735759 THEN 1 WHEN u<0.919699 THEN 2 WHEN u<0.981012 THEN 3 "
-    "WHEN u<0.996340 THEN 4 WHEN u<0.999406 THEN 5 ELSE 6 END"
+    "CASE " + " ".join(f"WHEN u<{bound!r}::DOUBLE THEN {n}" for n, bound in enumerate(poisson_one_cdf()))
+    + f" ELSE {len(poisson_one_cdf())} END"
 )
 
 
@@ -271,7 +272,7 @@ def poisson_sql(source: str, replicates: int) -> str:
     """``drawn``: each source row with its Poisson(1) weight per replicate."""
     key = "entity_id || '-' || replicate"
     return (
-        f"drawn AS (SELECT *, {POISSON} AS weight FROM (SELECT *, {hash_sql(key)}/4294967296.0::DOUBLE AS u "
+        f"drawn AS (SELECT *, {POISSON} AS weight FROM (SELECT *, {hash_sql(key)}/{HASH_SPACE}::DOUBLE AS u "
         f"FROM {source}, (SELECT UNNEST(range({replicates}))::INT AS replicate)))"
     )
 

@@ -18,7 +18,7 @@ from tallyhawk.session import cut_lineage, scratch_path
 from tallyhawk.sources import writers
 from tallyhawk.sources.readers import read_table
 
-COMPONENTS = 10
+COMPONENTS = 20
 KEY = "entity_id"
 
 
@@ -40,8 +40,9 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _PREPARED:
         parts = labelled_splits(spark, sf_dir)
-        fitted = preprocessing.fit_preprocessing(split_frame(parts, "train"), PLAN, COMPONENTS)
-        ready = sampling.class_weights(fitted.transform(parts))
+        train = split_frame(parts, "train")
+        fitted = preprocessing.fit_preprocessing(train, PLAN, COMPONENTS)
+        ready = sampling.class_weights(fitted.transform(parts), counted=train)
         vectors = ["raw_features", "std_features", "mm_features", "pca_features"]
         stored = cut_lineage(ready.select(KEY, "label", "split", "class_weight", *vectors))
         _PREPARED[at] = Prepared(fitted, stored)
@@ -51,8 +52,8 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
 def estimators() -> dict:
     return {
         "Logistic Regression": models.logistic_regression(),
-        "Random Forest": models.random_forest(trees=20, depth=6),
-        "GBT": models.boosted_trees(iterations=10, depth=4),
+        "Random Forest": models.random_forest(),
+        "GBT": models.boosted_trees(),
         "Linear SVC": models.linear_svc(),
     }
 
@@ -178,15 +179,14 @@ def folded(spark, sf_dir, folds: int) -> DataFrame:
 
 @query("l5_grid_search")
 def l5(spark, sf_dir):
-    grid = {"maxDepth": [3, 4], "stepSize": [0.1, 0.2]}
-    small = models.boosted_trees(iterations=3)
-    results = models.grid_search(small, grid, folded(spark, sf_dir, 3), KEY, parallelism=4)
+    grid = {"maxDepth": [4, 6], "stepSize": [0.05, 0.1, 0.2]}
+    results = models.grid_search(models.boosted_trees(), grid, folded(spark, sf_dir, 3), KEY, parallelism=4)
     return rounded(models.fold_summary(results, list(grid)))
 
 
 @query("l6_fold_stability")
 def l6(spark, sf_dir):
-    return rounded(models.grid_search(models.boosted_trees(iterations=3), {}, folded(spark, sf_dir, 5), KEY, parallelism=4))
+    return rounded(models.grid_search(models.boosted_trees(iterations=30), {}, folded(spark, sf_dir, 5), KEY, parallelism=4))
 
 
 @query("l7_small_sample_baseline")

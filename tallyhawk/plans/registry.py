@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyhawk.functions.hashing import HASH_DIGITS, hash_bound
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -36,7 +38,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 KINDS = ("click", "error", "purchase", "signup", "view")
 
 ENTITIES = (
-    "entities AS (SELECT user_id*100 + day(ts) AS entity_id, user_id, CAST(ts AS DATE) AS day, "
+    "entities AS (SELECT user_id*100000 + datediff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS entity_id, user_id, CAST(ts AS DATE) AS day, "
     + "".join(f"CAST(SUM(CASE WHEN event_type='{k}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}, " for k in KINDS)
     + "COUNT(*) AS total_events, ROUND(SUM(value), 2) AS sum_value, "
     "CAST(MAX(CASE WHEN value >= 200 THEN 1 ELSE 0 END) AS INT) AS label "
@@ -74,12 +76,18 @@ GAPPY = (
 )
 
 
-def hash_sql(key: str) -> str:
-    return f"('0x'||substr(md5(CAST({key} AS VARCHAR)),1,8))::BIGINT"
+def hash_sql(key: str, salt: str = "") -> str:
+    salted = f"CAST({key} AS VARCHAR)" + (f"||'-{salt}'" if salt else "")
+    return f"('0x'||substr(md5({salted}),1,{HASH_DIGITS}))::BIGINT"
+
+
+def below_sql(key: str, salt: str, fraction: float) -> str:
+    """Whether the salted hash of ``key`` is among the lowest ``fraction``."""
+    return f"{hash_sql(key, salt)} < {hash_bound(fraction)}"
 
 
-def bucket_sql(key: str, buckets: int = 10_000) -> str:
-    return f"({hash_sql(key)} % {buckets})"
+def bucket_sql(key: str, buckets: int, salt: str = "") -> str:
+    return f"({hash_sql(key, salt)} % {buckets})"
 
 
 # Class-weighted metrics over the cells, as used by several oracles.

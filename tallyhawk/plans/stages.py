@@ -5,6 +5,9 @@ Each stage reads what the one before wrote, so any of them can be run again alon
 
 from __future__ import annotations
 
+import math
+import time
+
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,6 +15,7 @@ from tallyhawk.operators import bootstrap, curves, metrics, models, preprocessin
 from tallyhawk.operators.features import FeaturePlan
 from tallyhawk.sources import readers, writers
 
+FILE_BYTES = 128 << 20
 VECTORS = ["raw_features", "std_features", "mm_features", "pca_features"]
 
 
@@ -22,14 +26,18 @@ def ingest(
     schema: T.StructType,
     label: str = "Label",
     key: str = "row_id",
-    num_files: int = 16,
+    num_files: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV to label-partitioned Parquet under ``out``/table; returns the stored table and the rejected lines.
 
     The source has no row identifier, so each line gets a number as it is first stored. A hash of its
-    content would not do: exact copies are common, and all copies would then fall in one split.
+    content would not do: exact copies are common, and all copies would then fall in one split. Without ``num_files``
+    the write has one task per 128 MB of input.
     """
     good, bad = readers.ingest_csv(spark, csv_path, schema, staging=f"{out}/staging", key=key)
+    if num_files is None:
+        listed = spark.read.format("binaryFile").load(csv_path).agg(F.sum("length")).first()[0] or 0
+        num_files = max(1, math.ceil(listed / FILE_BYTES))
     writers.write_partitioned(good, f"{out}/table", by=label, num_files=num_files, salt_key=key)
     return spark.read.parquet(f"{out}/table"), bad
 
@@ -41,14 +49,13 @@ def build_features(
     key: str,
     label: str,
     components: int | None = 20,
-    relative_error: float = 0.001,
 ) -> PipelineModel:
     """Split, fit the preprocessing on the training rows, write all splits and the fitted stages."""
     spark = table.sparkSession
     parts = sampling.split_by_key(table, key)
     train = parts.filter(F.col("split") == "train")
-    fitted = preprocessing.fit_preprocessing(train, plan, components, relative_error)
-    ready = sampling.class_weights(fitted.transform(parts), label)
+    fitted = preprocessing.fit_preprocessing(train, plan, components)
+    ready = sampling.class_weights(fitted.transform(parts), label, counted=train)
     vectors = VECTORS if components else VECTORS[:-1]
     writers.write_splits(ready, f"{out}/splits", [key, *vectors, label, "class_weight"])
     writers.save_stage(fitted, f"{out}/stages")
@@ -85,9 +92,12 @@ def train_models(
     trained = models.fit_all(train, estimators)
     if tuned is not None:
         folded = sampling.stratified_folds(train.select(key, "raw_features", label), key, label, folds)
+        start = time.perf_counter()
         best, per_fold = models.tune(tuned, gbt_grid, folded, key, label)
+        trained.seconds["GBT"] = time.perf_counter() - start
         trained.models["GBT"] = best
         writers.export_csv(models.fold_summary(per_fold, list(gbt_grid)), f"{out}/gbt_grid")
+        writers.export_csv(per_fold, f"{out}/gbt_folds")
     for name, model in trained.models.items():
         writers.save_stage(model, f"{out}/models/{name.replace(' ', '_').lower()}")
     baseline = models.small_sample_baseline(train, key, label)

@@ -66,6 +66,19 @@ def test_oversampled_rows_can_be_spread(people):
     assert out.rdd.getNumPartitions() == 5 and counts(out) == {0: 4800, 1: 4800}
 
 
+def test_a_sample_of_a_split_has_its_share(people):
+    train = sampling.split_by_key(people, "id").filter("split = 'train'")
+    n = train.count()
+    for fraction in (0.1, 0.4, 0.8):
+        kept = sampling.bernoulli_sample(train, "id", fraction).count()
+        assert abs(kept - fraction * n) < 4 * (n * fraction * (1 - fraction)) ** 0.5
+
+
+def test_tiny_fractions_are_not_lost(spark):
+    kept = sampling.bernoulli_sample(spark.range(2_000_000), "id", 0.00004).count()
+    assert 44 <= kept <= 116
+
+
 def test_stratified_sample_and_folds_are_exact(people):
     assert counts(sampling.stratified_sample(people, "id", "label", 0.1)) == {0: 480, 1: 20}
     folded = sampling.stratified_folds(people, "id", "label", 3)
