@@ -11,10 +11,14 @@ candidates times the cost of a check): a longer one asks correspondingly more sh
 Candidates that pass are verified on whole sets, so the result is exact.
 
 Copies cost nothing extra: documents with equal sets form one class with one representative. Large groups of near copies
-don't emit their pairs: first every representative is checked against one pivot per prefix shingle, the member with the
-smallest share of unshared prefix shingles. Links found make components, and the full join then leaves out pairs
-within a component; it also leaves out pairs of which one has fewer shared prefix shingles in all than needed. No candidate is
-capped or dropped. Components are what is asked for, and links inside a component don't change them.
+don't emit their pairs. First every representative is checked against one pivot per prefix shingle, the member with the
+smallest share of unshared prefix shingles; links found make components. The pivot that a document of a crowded shingle
+shares most with is its home. Two documents of one home that both link with it are in one component already. Any other pair of
+one home shares more than half of what a member differs from home by, so it is found by a prefix join over these differences, where
+the common shingles of the group don't occur. Pairs of different homes are found by their prefix shingles; of a
+shingle's most frequent home no two rows meet. Pairs within a component and pairs of which one has fewer shared prefix
+shingles in all than needed are left out. No candidate is capped or dropped. Components are what is asked for, and links
+inside a component don't change them.
 
 Texts without words (null, empty, blank) have an empty set and link with nothing. Texts with fewer words than ``width`` have
 their whole word sequence as one shingle. Rows that repeat an id must repeat its text. Extra columns are not read.
@@ -36,6 +40,7 @@ from tallyhawk.session import cut_lineage
 
 SKETCH_BITS = 20
 FILTER_BITS = 22
+CROWD = 8  # documents of a shingle from which on its members get a home; decides costs only
 LENGTHEN = (0.0, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5)  # of the set's size, beyond the shortest prefix
 
 
@@ -140,37 +145,79 @@ def _sizes_fit(x: dict[str, Column], y: dict[str, Column], pct: int) -> Column:
     return 100 * F.least(x["n"], y["n"]) >= pct * F.greatest(x["n"], y["n"])
 
 
-def _side(at: str, names: tuple[str, ...] = ("doc", "n", "suffix", "shared", "comp")) -> dict[str, Column]:
+def _side(at: str, names: tuple[str, ...] = ("doc", "n", "suffix", "shared", "comp", "home")) -> dict[str, Column]:
     return {c: F.col(f"{at}.{c}") for c in names}
 
 
-def star_candidates(rows: DataFrame, pct: int) -> DataFrame:
-    """(x, y): rows against their shingles' pivots, if the shingles shared that way already suffice."""
+def star_pairs(rows: DataFrame, pct: int) -> DataFrame:
+    """(x, y, home): rows against their shingles' pivots ``y``, if the shingles shared that way already suffice or if ``y`` is x's home.
+
+    A document with a shingle that many share has a home, the pivot it shares most with. A home of others has none.
+    """
     best = F.min(F.struct("unshared", "doc", "n", "suffix"))
-    pivots = rows.groupBy("token").agg(best.alias("p"))
-    met = rows.join(pivots, "token").select(F.struct("doc", "n", "suffix").alias("x"), F.struct("p.doc", "p.n", "p.suffix").alias("y"))
+    pivots = rows.groupBy("token").agg(best.alias("p"), F.count("*").alias("df"))
+    met = rows.join(pivots, "token").select(F.struct("doc", "n", "suffix").alias("x"), F.struct("p.doc", "p.n", "p.suffix").alias("y"), "df")
     names = ("doc", "n", "suffix")
     x, y = _side("x", names), _side("y", names)
-    counted = met.filter((x["doc"] != y["doc"]) & _sizes_fit(x, y, pct)).groupBy("x", "y").agg(F.count("*").alias("common"))
-    passed = counted.filter(F.col("common") >= _need(x, y, pct))
-    return passed.select(F.least(x["doc"], y["doc"]).alias("x"), F.greatest(x["doc"], y["doc"]).alias("y")).distinct()
+    counted = met.filter((x["doc"] != y["doc"]) & _sizes_fit(x, y, pct)).groupBy("x", "y").agg(F.count("*").alias("common"), F.max("df").alias("df"))
+    enough = (F.col("common") >= _need(x, y, pct)).alias("enough")
+    counted = cut_lineage(counted.select(x["doc"].alias("x"), y["doc"].alias("y"), "common", "df", enough))
+    nearest = F.max_by("y", F.struct("common", -F.col("y")))
+    homes = cut_lineage(counted.filter(F.col("df") >= CROWD).groupBy("x").agg(nearest.alias("y")))
+    guests = homes.join(homes.select(F.col("y").alias("x")).distinct(), "x", "left_anti")
+    passed = counted.filter("enough").select("x", "y", F.lit(False).alias("home"))
+    return passed.unionByName(guests.withColumn("home", F.lit(True))).groupBy("x", "y").agg(F.max("home").alias("home"))
+
 
+def cross_candidates(rows: DataFrame, pct: int) -> DataFrame:
+    """(x, y): every pair of different components and homes with enough shared prefix shingles.
 
-def all_candidates(rows: DataFrame, pct: int) -> DataFrame:
-    """(x, y): every pair of different components with enough shared prefix shingles."""
+    The rows of a shingle's most frequent home are never held against one another.
+    """
     x, y = _side("x"), _side("y")
-    apart = (x["doc"] < y["doc"]) & (x["comp"] != y["comp"]) & _sizes_fit(x, y, pct)
+    once = F.col("y.main") | (x["doc"] < y["doc"])
+    apart = once & (x["home"] != y["home"]) & (x["comp"] != y["comp"]) & _sizes_fit(x, y, pct)
     hope = _need(x, y, pct) <= F.least(x["shared"], y["shared"])
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & hope)
+    met = rows.filter("NOT main").alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & hope)
     counted = met.groupBy(x["doc"].alias("x"), y["doc"].alias("y"), _need(x, y, pct).alias("need")).agg(F.count("*").alias("common"))
     return counted.filter("common >= need").select("x", "y")
 
 
-def _described(shared: DataFrame, sizes: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows (token, doc) of shingles that still join different components, with what is known of their documents."""
-    rows = shared.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    mixed = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    alive = cut_lineage(rows.join(mixed.select("token"), "token"))
+def home_candidates(rows: DataFrame, pct: int) -> DataFrame:
+    """(x, y): every pair of one home but different components, x far from home, with enough shared differences.
+
+    ``rows``: (home, token, doc, n, d, near, deep, far_suffix, suffix, comp), see ``differences``.
+    """
+    names = ("doc", "n", "d", "suffix", "far_suffix", "comp")
+    x, y = _side("x", names), _side("y", names)
+    alike = F.ceil((x["d"] + y["d"] - (100 - pct) * (x["n"] + y["n"]) / (100 + pct)) / 2 - F.lit(1e-9))
+    fit = (x["comp"] != y["comp"]) & _sizes_fit(x, y, pct) & (alike <= F.least(x["d"], y["d"]))
+    same = (F.col("x.home") == F.col("y.home")) & (F.col("x.token") == F.col("y.token")) & fit
+
+    def counted(left: DataFrame, right: DataFrame, on: Column, suffix: Column) -> DataFrame:
+        need = F.greatest(F.lit(1).cast("long"), alike - suffix).alias("need")
+        met = left.alias("x").join(right.alias("y"), on).groupBy(x["doc"].alias("x"), y["doc"].alias("y"), need)
+        return met.agg(F.count("*").alias("common")).filter("common >= need").select("x", "y")
+
+    far, near = rows.filter("NOT near"), rows.filter("near")
+    mixed = counted(far, near, same, F.greatest(x["far_suffix"], y["suffix"]))
+    flat = far.filter("NOT deep")
+    return mixed.unionByName(counted(flat, flat, same & (x["doc"] < y["doc"]), F.greatest(x["suffix"], y["suffix"])))
+
+
+def _described(shared: DataFrame, sizes: DataFrame, comps: DataFrame, homes: DataFrame) -> DataFrame:
+    """Rows (token, doc) of shingles that still join different components and homes, with what is known of their documents.
+
+    ``main`` says whether a row's home is its shingle's most frequent one.
+    """
+    own = {"comp": F.coalesce("comp", "doc"), "home": F.coalesce("home", "doc")}
+    rows = shared.join(comps, "doc", "left").join(homes, "doc", "left").withColumns(own)
+    per_home = rows.groupBy("token", "home").agg(F.count("*").alias("df"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    per_token = per_home.groupBy("token").agg(
+        F.max_by("home", F.struct("df", "home")).alias("largest"), F.count("*").alias("n_homes"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    mixed = per_token.filter("low <> high AND n_homes > 1").select("token", "largest")
+    alive = cut_lineage(rows.join(mixed, "token").withColumn("main", F.col("home") == F.col("largest")).drop("largest"))
     counts = alive.groupBy("doc").agg(F.count("*").alias("shared"))
     known = counts.join(sizes, "doc").withColumn("unshared", (F.col("n") - F.col("suffix") - F.col("shared")) / F.col("n"))
     return cut_lineage(alive.join(known, "doc"))
@@ -199,23 +246,74 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return cut_lineage(docs.filter("doc IS NOT NULL").mapInArrow(run, "doc long, shingles binary").join(wanted, "doc", "left_semi"))
 
 
+def _paired(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``pairs`` (x, y, ...), a stored table, with the sets of both as bytes ``a`` and ``b``."""
+    both = pairs.select(F.col("x").alias("doc")).unionByName(pairs.select(F.col("y").alias("doc")))
+    sets = _sets_of(docs, cut_lineage(both.distinct()), width)
+    first = pairs.join(sets.select(F.col("doc").alias("x"), F.col("shingles").alias("a")), "x")
+    return first.join(sets.select(F.col("doc").alias("y"), F.col("shingles").alias("b")), "y")
+
+
+def _two_sets(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for left, right in zip(batch.column(2), batch.column(3)):
+        yield tuple(np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (left, right))
+
+
+def _linked(a: np.ndarray, b: np.ndarray, pct: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= pct * (len(a) + len(b) - both)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, width: int, pct: int) -> DataFrame:
     """Those of ``pairs`` (x, y), a stored table, whose sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hit = []
-            for left, right in zip(batch.column(2), batch.column(3)):
-                a, b = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (left, right))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                hit.append(100 * both >= pct * (len(a) + len(b) - both))
+            hit = [_linked(a, b, pct) for a, b in _two_sets(batch)]
             yield batch.select(["x", "y"]).filter(pa.array(hit, pa.bool_()))
 
-    both = pairs.select(F.col("x").alias("doc")).unionByName(pairs.select(F.col("y").alias("doc")))
-    sets = _sets_of(docs, cut_lineage(both.distinct()), width)
-    first = pairs.join(sets.select(F.col("doc").alias("x"), F.col("shingles").alias("a")), "x")
-    second = first.join(sets.select(F.col("doc").alias("y"), F.col("shingles").alias("b")), "y")
-    return second.select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+    return _paired(pairs, docs, width).select("x", "y", "a", "b").mapInArrow(run, "x long, y long")
+
+
+def difference_prefix(own: np.ndarray, home: np.ndarray, near: bool, levels: np.ndarray, pct: int) -> tuple[np.ndarray, int, int, int]:
+    """First differences from home, how many may serve any partner, and what the two prefixes leave out.
+
+    Differences are what one of the sets has and the other lacks, in a common order: what home lacks first, then rare before
+    frequent. With ``d`` their number, a partner of a document far from home shares more than
+    (d + (100 - pct) / (100 + pct) * (n_home - n)) / 2 of them; a partner of any kind at least d - (100 - pct) / pct * n.
+    """
+    differ = np.setxor1d(own, home, assume_unique=True)
+    d, n = len(differ), len(own)
+    order = np.lexsort((differ, levels[_cell(differ)], np.isin(differ, home, assume_unique=True)))
+    least = (d * (100 + pct) + (100 - pct) * (len(home) - n)) // (2 * (100 + pct)) + 1
+    flat = max(0, d - least + 1)
+    far_least = max(1, d - (100 - pct) * n // pct)
+    size = flat if near else max(flat, d - far_least + 1)
+    return differ[order[:size]], flat, d - flat, d - size
+
+
+def differences(pairs: DataFrame, docs: DataFrame, width: int, pct: int, levels: np.ndarray) -> DataFrame:
+    """Per pair (x, y, home), a stored table: whether it is ``near`` enough to link, and for homes the differences x is found by."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2^20 bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for (a, b), home in zip(_two_sets(batch), batch.column(4).to_pylist()):
+                near = _linked(a, b, pct)
+                if home:
+                    tokens, flat, suffix, far_suffix = difference_prefix(a, b, near, shared.value, pct)
+                    differ = flat + suffix
+                else:
+                    tokens, flat, suffix, far_suffix, differ = np.zeros(0, dtype=np.uint64), 0, 0, 0, 0
+                rows.append((near, len(a), differ, flat, suffix, far_suffix, _signed(tokens)))
+            near, *numbers, tokens = zip(*rows) if rows else [()] * 7
+            columns = [batch.column(0), batch.column(1), batch.column(4), pa.array(near, pa.bool_())]
+            columns += [pa.array(x, pa.int64()) for x in numbers] + [pa.array(tokens, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["x", "y", "home", "near", "n", "d", "flat", "suffix", "far_suffix", "tokens"])
+
+    schema = "x long, y long, home boolean, near boolean, n long, d long, flat long, suffix long, far_suffix long, tokens array<long>"
+    return _paired(pairs, docs, width).select("x", "y", "a", "b", "home").mapInArrow(run, schema)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, pct: int = 80) -> DataFrame:
@@ -237,12 +335,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = cut_lineage(tokens.join(frequent, "token"))
 
     alone = sizes.select("doc", F.col("doc").alias("comp"))
-    rows = _described(shared, sizes, alone)
-    star = cut_lineage(star_candidates(rows, pct))
-    links = cut_lineage(verified(star, texts, width, pct))
+    at_home = alone.select("doc", F.col("doc").alias("home"))
+    star = cut_lineage(star_pairs(_described(shared, sizes, alone, at_home), pct))
+    checked = cut_lineage(differences(star, texts, width, pct, levels))
+    links = checked.filter("near").select("x", "y")
     comps = components(links)
 
-    rest = cut_lineage(all_candidates(_described(shared, sizes, comps), pct))
+    guests = checked.filter("home")
+    homes = cut_lineage(guests.select(F.col("x").alias("doc"), F.col("y").alias("home")))
+    differ = guests.select(F.col("y").alias("home"), F.col("x").alias("doc"), "n", "d", "near", "flat", "suffix", "far_suffix", F.posexplode("tokens").alias("at", "token"))
+    differ = differ.withColumn("deep", F.col("at") >= F.col("flat")).join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    within = home_candidates(cut_lineage(differ), pct)
+    across = cross_candidates(_described(shared, sizes, comps, homes), pct)
+    rest = cut_lineage(within.unionByName(across))
     links = cut_lineage(links.unionByName(verified(rest, texts, width, pct)))
     comps = components(links)
 
