@@ -179,7 +179,9 @@ def cross_candidates(rows: DataFrame, pct: int) -> DataFrame:
     apart = once & (x["home"] != y["home"]) & (x["comp"] != y["comp"]) & _sizes_fit(x, y, pct)
     hope = _need(x, y, pct) <= F.least(x["shared"], y["shared"])
     met = rows.filter("NOT main").alias("x").join(rows.alias("y"), (F.col("x.token") == F.col("y.token")) & apart & hope)
-    counted = met.groupBy(x["doc"].alias("x"), y["doc"].alias("y"), _need(x, y, pct).alias("need")).agg(F.count("*").alias("common"))
+    # which side a pair's row came from differs from shingle to shingle
+    pair = F.least(x["doc"], y["doc"]).alias("x"), F.greatest(x["doc"], y["doc"]).alias("y")
+    counted = met.groupBy(*pair, _need(x, y, pct).alias("need")).agg(F.count("*").alias("common"))
     return counted.filter("common >= need").select("x", "y")
 
 
