@@ -345,8 +345,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     guests = checked.filter("home")
     homes = cut_lineage(guests.select(F.col("x").alias("doc"), F.col("y").alias("home")))
-    differ = guests.select(F.col("y").alias("home"), F.col("x").alias("doc"), "n", "d", "near", "flat", "suffix", "far_suffix", F.posexplode("tokens").alias("at", "token"))
-    differ = differ.withColumn("deep", F.col("at") >= F.col("flat")).join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    placed = guests.withColumnsRenamed({"x": "doc", "y": "at"}).drop("home").withColumnRenamed("at", "home")
+    placed = placed.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    kept = ("home", "doc", "n", "d", "near", "flat", "suffix", "far_suffix", "comp")
+    differ = placed.select(*kept, F.posexplode("tokens").alias("at", "token")).withColumn("deep", F.col("at") >= F.col("flat"))
     within = home_candidates(cut_lineage(differ), pct)
     across = cross_candidates(_described(shared, sizes, comps, homes), pct)
     rest = cut_lineage(within.unionByName(across))
