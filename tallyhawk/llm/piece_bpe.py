@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
+from heapq import heappop, heappush
+from itertools import chain, groupby, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -22,6 +23,9 @@ from tallyhawk.llm.words import as_texts, slices
 
 MARK = "▁"
 KEPT_CHUNKS = 200_000
+KEPT_PAIRS = 500_000
+LONG_RUN = 256
+NEVER = float("-inf")
 _loaded: dict[str, PieceBpe] = {}
 
 
@@ -50,81 +54,126 @@ class PieceBpe(dict):
         for piece in self.id_of:
             self.reversed.add_word(piece[::-1], piece)
         self.reversed.make_automaton()
+        self.special = self.control | self.byte_of.keys()
+        self.shorter = {p: self.next_shorter(p) for p in self.id_of}
         self.fits: dict[tuple[str, str], bool] = {}
 
+    def next_shorter(self, piece: str) -> str:
+        """The longest piece that ``piece`` goes on from; empty if there is none."""
+        return next((piece[:n] for n in range(len(piece) - 1, 0, -1) if piece[:n] in self.id_of), "")
+
     def merge(self, text: str) -> list[str]:
         """Merge neighbours, best score first and leftmost among equals, from single characters on."""
-        parts = list(text)
-        while len(parts) > 1:
-            scores = [self.score.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = max((s for s in scores if s is not None), default=None)
-            if best is None:
+        if len(text) > LONG_RUN:
+            return self.merge_long(text)
+        parts, score = list(text), self.score.get
+        scores = [score(a + b, NEVER) for a, b in pairwise(parts)]
+        while scores:
+            best = max(scores)
+            if best == NEVER:
                 break
             at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NEVER)
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NEVER)
         return parts
 
+    def merge_long(self, text: str) -> list[str]:
+        """The same with a heap of pairs and a linked list of parts, for runs where a scan for each merge would be too much."""
+        size = len(text)
+        parts, before, after = list(text), list(range(-1, size - 1)), [*range(1, size), -1]
+        pairs: list[tuple[float, int, str]] = []
+
+        def offer(left: int, right: int) -> None:
+            if left >= 0 and right >= 0:
+                both = parts[left] + parts[right]
+                if both in self.score:
+                    heappush(pairs, (-self.score[both], left, both))
+
+        for at in range(size - 1):
+            offer(at, at + 1)
+        while pairs:
+            _, left, both = heappop(pairs)
+            right = after[left]
+            if right < 0 or not parts[left] or parts[left] + parts[right] != both:
+                continue  # one of the two is part of something else by now
+            parts[left], parts[right] = both, ""
+            after[left] = after[right]
+            if after[left] >= 0:
+                before[after[left]] = left
+            offer(before[left], left)
+            offer(left, after[left])
+        return [p for p in parts if p]
+
     def compatible(self, left: str, right: str) -> bool:
         found = self.fits.get((left, right))
         if found is None:
-            if len(self.fits) >= KEPT_CHUNKS:
+            if len(self.fits) >= KEPT_PAIRS:
                 self.fits.clear()
             self.fits[left, right] = found = self.merge(left + right) == [left, right]
         return found
 
-    def shorter(self, piece: str) -> str:
-        """The longest piece that ``piece`` goes on from; empty if there is none."""
-        piece = piece[:-1]
-        while piece and piece not in self.id_of:
-            piece = piece[:-1]
-        return piece
-
     def split(self, text: str) -> list[str]:
         """Pieces of a run of known characters."""
         size = len(text)
-        longest = [""] * size
-        for at, piece in self.reversed.iter(text[::-1]):
-            place = size - 1 - at
-            if len(piece) > len(longest[place]):
-                longest[place] = piece
+        # the automaton names the longest match at a place first, so that it is the last one to be put in the dictionary
+        longest = dict(reversed(list(self.reversed.iter(text[::-1]))))
+        shorter, fits = self.shorter, self.fits
         taken: list[str] = []
-        at, dead, piece = 0, 0, longest[0]
+        dead = None  # a bit for each place from which nothing worked
+        at, piece = 0, longest.get(size - 1, "")
         while at < size:
-            while piece and (dead >> (at + len(piece)) & 1 or taken and not self.compatible(taken[-1], piece)):
-                piece = self.shorter(piece)
+            while piece:
+                to = at + len(piece)
+                if not (dead and dead[to >> 3] >> (to & 7) & 1):
+                    if not taken:
+                        break
+                    fit = fits.get((taken[-1], piece))
+                    if self.compatible(taken[-1], piece) if fit is None else fit:
+                        break
+                piece = shorter[piece]
             if piece:
                 taken.append(piece)
                 at += len(piece)
-                piece = longest[at] if at < size else ""
+                piece = longest.get(size - 1 - at, "")
             elif taken:
-                dead |= 1 << at
+                dead = dead or bytearray((size >> 3) + 1)
+                dead[at >> 3] |= 1 << (at & 7)
                 last = taken.pop()
                 at -= len(last)
-                piece = self.shorter(last)
+                piece = shorter[last]
             else:
                 return self.merge(text)  # only for a model whose pieces cannot all be reached by merges
         return taken
 
+    def pieces_of(self, run: str) -> list[str]:
+        """Pieces of a run of known characters, also of one where scores are equal."""
+        return self.merge(run) if MARK * 2 in run else self.split(run)
+
     def chunk_ids(self, chunk: str) -> list[int]:
+        if self.known.issuperset(chunk):
+            runs = [(True, chunk)]
+        else:
+            runs = [(known, "".join(run)) for known, run in groupby(chunk, self.known.__contains__)]
         ids: list[int] = []
-        run = ""
-        for c in chain(chunk, [None]):
-            if c in self.known:
-                run += c
-                continue
-            if run:
-                for piece in self.merge(run) if MARK * 2 in run else self.split(run):
+        for known, run in runs:
+            if known:
+                for piece in self.pieces_of(run):
                     ids += [self.id_of[piece]] if piece in self.id_of else self.fallback(piece)
-                run = ""
-            if c:
-                ids += self.fallback(c)
+            else:
+                ids += self.fallback(run)
         return ids
 
-    def fallback(self, c: str) -> list[int]:
-        return [self.bytes[b] for b in c.encode()]
+    def fallback(self, run: str) -> list[int]:
+        return [self.bytes[b] for b in run.encode()]
 
     def surface(self, ids: list[int]) -> str:
         """The text of ids, with word marks as spaces."""
+        if self.special.isdisjoint(ids):
+            return "".join([self.pieces[i] for i in ids]).replace(MARK, " ")
         out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
