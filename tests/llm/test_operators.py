@@ -231,6 +231,26 @@ def test_shards_are_even_and_keep_groups_together(spark):
     assert whole >= 15  # by hash alone hardly any group of three would be
 
 
+def test_shards_fill_with_a_large_group_and_keep_copies(spark):
+    def placed(texts):
+        where = {}
+        for r in sharding.balanced_shards(table(spark, texts)).collect():
+            where.setdefault(texts[r.doc_id], []).append(r.shard)
+        return where
+
+    # a third of 1,600 rows fill five shards of 100 and a part of others
+    hot = placed(["hot"] * 533 + [f"t{k}" for k in range(1067)])["hot"]
+    assert sorted(map(hot.count, set(hot)))[-5:] == [100] * 5 and len(set(hot)) == 6
+    # with a copy of every row there is no room but what others leave
+    pairs = placed([f"p{k % 800}" for k in range(1600)])
+    assert sum(len(set(s)) == 1 for s in pairs.values()) >= 785
+
+
+def test_full_shards_swap_rows():
+    assert sharding._flows({(0, 1): 5, (1, 0): 3}, [0, 0]) == {(0, 1): 3, (1, 0): 3}
+    assert sharding._flows({(0, 1): 5, (1, 2): 4, (2, 0): 9}, [0, 1, 0]) == {(0, 1): 5, (1, 2): 4, (2, 0): 5}
+
+
 def test_ranking_separates_and_handles_one_class(spark):
     good = [(i, prose(i, 60), 1) for i in range(60)]
     bad = [(100 + i, " ".join(w + "###" for w in prose(500 + i, 40).split()), 0) for i in range(20)]
