@@ -101,13 +101,39 @@ def count_kind(spans: str, kind: str) -> F.Column:
     return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long")
 
 
+# a key whose end line is missing: its headers, lines of base64 and a short last line; line ends may be escaped
+_KEY_LINES = (
+    r"^(?:\s*+(?:Proc-Type|DEK-Info):[^\n]*+)*+(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{16,}+={0,2}+)*+"
+    r"(?:(?:\s|\\[rn])*+[A-Za-z0-9+/]{1,15}+={1,2}+|\r?\n[A-Za-z0-9+/]{1,15}+(?=\s*+$))?+"
+)
+
+
+def _whole_keys(spans: str, text: str) -> F.Column:
+    """``spans`` with those of kind pem, which are of the header only, up to the end line or the last line of base64."""
+
+    def key(s):
+        rest = F.substring(F.col(text), s["end"] + 1, F.length(text))
+        last, other = F.locate("-----END ", rest), F.locate("-----BEGIN", rest)
+        line = F.regexp_extract(F.substring(rest, last, F.lit(200)), r"^-----END [A-Z ]*PRIVATE KEY-----", 0)
+        ended = (last > 0) & ((other == 0) | (last < other)) & (F.length(line) > 0)
+        more = F.when(ended, last - 1 + F.length(line)).otherwise(F.length(F.regexp_extract(rest, _KEY_LINES, 0)))
+        return F.when(
+            s["kind"] == "pem", F.struct(s["start"].alias("start"), (s["end"] + more).alias("end"), s["kind"].alias("kind"))
+        ).otherwise(s)
+
+    return F.transform(spans, key)
+
+
 def redact(docs: DataFrame, ledger: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with each finding's text replaced by ``[kind]`` (overlapping findings by the first's), n_chars kept true."""
+    """``docs`` with each finding's text replaced by ``[kind]`` (overlapping findings by the first's), n_chars kept true.
+
+    A private key goes whole, not its header only.
+    """
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     found = scan(docs, ledger, doc_id, text).filter(F.size("spans") > 0)
     found = found.groupBy(F.col("blob").alias("_blob")).agg(F.first("spans").alias("_spans"))
     # findings are joined by content, to rows that have any only
-    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text)))).join(found, "_blob", "left")
+    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text)))).join(found, "_blob", "left").withColumn("_spans", _whole_keys("_spans", text))
     last = lambda done: done["at"]
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda done, s: F.when(

@@ -281,6 +281,17 @@ def test_secret_scan_uses_its_ledger(spark, tmp_path):
     assert clean[0].n_chars == len(clean[0].text)
 
 
+def test_redaction_takes_whole_private_keys(spark, tmp_path):
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = "\n" + "\n".join("MIIEpAIBAAKCAQEA" + "x/+" * 16 for _ in range(25)) + "\nabcd12==\n"
+    texts = [
+        f"é a {begin}{body}{end} b", f"a {begin}{body}then words", begin + body.replace("\n", "\\n") + end + "\nz",
+        f"{begin}{body}\n{begin}{body}{end} c", f"see {begin} in the manual",
+    ]
+    got = {r.doc_id: r.text for r in secrets.redact(table(spark, texts), str(tmp_path / "ledger")).collect()}
+    assert [got[i] for i in range(5)] == ["é a [pem] b", "a [pem]\nthen words", "[pem]\nz", "[pem]\n\n[pem] c", "see [pem] in the manual"]
+
+
 def test_language_spans_and_rejection(spark):
     english = ["the cat and the dog went to the house with " + str(k) for k in range(30)]
     german = ["der hund und die katze gehen über das große haus nr " + str(k) for k in range(30)]
