@@ -10,6 +10,8 @@ same canonical form, the smallest ``license_id`` is given, so there is one resul
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Spellings that count as the same.
@@ -57,6 +59,23 @@ KNOWN = {
     "MIT-notice": "Released under the MIT License.",
 }
 
+# whole texts, one file a licence
+KNOWN |= {p.stem: p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+# Title lines that files have above a text without one; such a form has its own id, ending in -titled.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License"),
+    "ISC": ("ISC License", "The ISC License"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "Zlib": ("zlib License", "The zlib/libpng License"),
+}
+KNOWN |= {
+    f"{name}-titled" + (f"-{i}" if i else ""): f"{title}\n\n{KNOWN[name]}"
+    for name, titles in TITLES.items() for i, title in enumerate(titles)
+}
+
 COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
 
 

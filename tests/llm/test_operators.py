@@ -213,6 +213,13 @@ def test_licenses_match_entire_texts_only(spark):
     assert got[2][1] is None and got[4][1] is None
 
 
+def test_common_licenses_and_titled_ones_are_known(spark):
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "MPL-2.0", "Unlicense", "Zlib"]
+    texts = [licenses.KNOWN[n].upper() for n in names] + ["MIT License\n\nCopyright (c) 2020 Someone\n\n" + licenses.KNOWN["MIT"]]
+    got = {r.doc_id: r.license_id for r in licenses.scan_licenses(table(spark, texts), licenses.known_licenses(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == [*names, "MIT-titled"]
+
+
 def test_shards_are_even_and_keep_groups_together(spark):
     texts = [f"t{k}" for k in range(200)] + [f"g{k % 30}" for k in range(90)] + ["hot"] * 145 + [None, ""]
     df = table(spark, texts)
