@@ -41,3 +41,17 @@ def candidates(df: DataFrame, key: str, rows: int, counters: int = COUNTERS) ->
     summed = parts.groupBy("key").agg(F.sum("counted").alias("counted"))
     least = max(1, rows // (counters + 1))
     return summed.filter(F.col("counted") > least).select(F.col("key").alias(key))
+
+
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], counted: str, total: int, counters: int = COUNTERS) -> DataFrame:
+    """Left join of ``facts``, which has one row per key and in ``counted`` how many of the ``total`` rows have it at most.
+
+    More than total / counters rows can belong to fewer than ``counters`` keys only; their facts are broadcast, so that their
+    rows stay where they are. The others are joined by shuffle, where no key has more than that share.
+    """
+    frequent = F.col(counted) > total // counters
+    hot = facts.filter(frequent).withColumn("_frequent", F.lit(True))
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    there = marked.filter("_frequent").drop("_frequent")
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(facts.filter(~frequent), keys, "left")
+    return there.unionByName(rest)

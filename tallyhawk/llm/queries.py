@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhawk.llm import (
-    exact_dedup, language_id, licenses, near_duplicates, packing, piece_bpe, quality_ranking, repetition, secrets, sharding,
+    exact_dedup, language_id, licenses, near_duplicates, near_vectors, packing, periodic_runs, piece_bpe, quality_ranking, repetition, secrets,
+    sharding, vector_codes,
 )
 from tallyhawk.session import scratch_path
 
@@ -205,3 +206,85 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.filter(~language_id.is_held_out("doc_id")))
     predicted = language_id.predict(docs, model)
     return predicted.select("doc_id", language_id.is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+@query(
+    "op11_embedding_near_dedup",
+    """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ),
+    links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+        ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+    ),
+    reach AS (
+        SELECT vec_id, vec_id AS other FROM embeddings
+        UNION
+        SELECT reach.vec_id, links.y FROM reach JOIN links ON links.x = reach.other
+    ),
+    least AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+    counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+    FROM least LEFT JOIN counted ON x = vec_id
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(embeddings(spark, sf_dir))
+
+
+def _codes_sql(parts: int = vector_codes.PARTS, rounds: int = vector_codes.ROUNDS) -> str:
+    """Each round as a pair of views: the nearest entry of every part, then the means rounded down. Dot products of these whole numbers are
+    exact in double precision."""
+    steps = [
+        f"""
+    kept AS MATERIALIZED (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    parts AS MATERIALIZED (
+        SELECT vec_id, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS i
+        FROM kept, range({parts}) t(p)
+    ),
+    book0 AS MATERIALIZED (SELECT p, i AS e, v AS c FROM parts WHERE i < {vector_codes.ENTRIES})"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""
+    near{k} AS MATERIALIZED (
+        SELECT vec_id, p, any_value(v) AS v, min(struct_pack(d := d, e := e)) AS best FROM (
+            SELECT vec_id, parts.p, v, e, (list_dot_product(v, v) + list_dot_product(c, c) - 2 * list_dot_product(v, c))::BIGINT AS d
+            FROM parts JOIN book{k} USING (p)
+        ) GROUP BY vec_id, p
+    )""")
+        if k < rounds:
+            steps.append(f"""
+    mean{k} AS MATERIALIZED (
+        SELECT p, e, list(m ORDER BY j) AS c FROM (
+            SELECT p, best.e AS e, j, floor(sum(v[j]) / count(*)) AS m FROM near{k}, range(1, 10000) t(j) WHERE j <= len(v) GROUP BY p, best.e, j
+        ) GROUP BY p, e
+    ),
+    book{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(mean{k}.c, book{k}.c) AS c FROM book{k} LEFT JOIN mean{k} USING (p, e))""")
+    return "WITH " + ",".join(steps) + f""",
+    coded AS (
+        SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id)
+    """
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(embeddings(spark, sf_dir))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(documents(spark, sf_dir), plant=True, full=False)
