@@ -7,6 +7,7 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import MinMaxScaler, PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -162,6 +163,21 @@ def feature_registry(df: DataFrame, vector: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "idx int, feature string")
 
 
+def vector_summary(df: DataFrame, vector: str) -> DataFrame:
+    """(idx, n, mean, variance, nonzeros) of every place of a vector column, by the library's one-pass summariser."""
+    wanted = Summarizer.metrics("count", "mean", "variance", "numNonZeros").summary(F.col(vector)).alias("_s")
+    one = df.select(wanted).select("_s.count", *[vector_to_array(f"_s.{c}").alias(c) for c in ("mean", "variance", "numNonZeros")])
+    places = F.posexplode(F.arrays_zip("mean", "variance", "numNonZeros")).alias("idx", "_p")
+    return one.select("count", places).select(
+        "idx", F.col("count").alias("n"), "_p.mean", "_p.variance", F.col("_p.numNonZeros").cast("bigint").alias("nonzeros")
+    )
+
+
+def described_registry(df: DataFrame, vector: str) -> DataFrame:
+    """The feature registry with each feature's count, mean, variance and rows other than zero."""
+    return feature_registry(df, vector).join(vector_summary(df, vector), "idx")
+
+
 def scaled_columns(df: DataFrame, vector: str, key: str) -> DataFrame:
     """(key, idx, value): a vector column in long form."""
     return df.select(key, F.posexplode(vector_to_array(vector)).alias("idx", "value"))

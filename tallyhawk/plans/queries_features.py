@@ -141,7 +141,7 @@ def p14_all(spark, sf_dir):
 
 
 def feature_table_sql() -> str:
-    """``features``: all features of the plan in order, and ``long``: their training rows as (entity_id, feature, x)."""
+    """``features``: all features of the plan in order, ``every``: all rows as (entity_id, name, x), and ``long``: the training rows among them."""
     pairs = ", ".join(
         f"({a}*{b})::DOUBLE AS {a}_{b}_interaction, {a}/({b}+1)::DOUBLE AS {a}_{b}_ratio" for a, b in combinations(PAIRED, 2)
     )
@@ -158,8 +158,8 @@ def feature_table_sql() -> str:
         "ln(1+total_events) AS log_total_events, ln(1+cat_engage) AS log_cat_engage, ln(1+cat_error) AS log_cat_error, "
         "CASE WHEN cat_error>0 THEN 1.0 ELSE 0.0 END::DOUBLE AS has_error, "
         f"CASE WHEN event_sparsity>0.7 THEN 1.0 ELSE 0.0 END::DOUBLE AS high_sparsity, {pairs}, {powers} FROM wide), "
-        f"long AS (SELECT entity_id, name, x FROM (SELECT * FROM features WHERE {below_sql('entity_id', 'split', 0.6)}) "
-        f"UNPIVOT (x FOR name IN ({', '.join(PLAN.names)}))), "
+        f"every AS (SELECT entity_id, name, x FROM features UNPIVOT (x FOR name IN ({', '.join(PLAN.names)}))), "
+        f"long AS (SELECT * FROM every WHERE {below_sql('entity_id', 'split', 0.6)}), "
         f"places AS (SELECT UNNEST({PLAN.names!r}) AS name, UNNEST(range({len(PLAN.names)}))::INT AS idx)"
     )
 

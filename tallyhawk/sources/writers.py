@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.util import MLWritable
+from pyspark.ml import Model
+from pyspark.ml.param import Params
+from pyspark.ml.util import DefaultParamsReader, MLWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhawk.operators.layout import hash_repartition
@@ -54,6 +56,30 @@ def read_result_json(spark: SparkSession, path: str, schema: str | T.StructType
     return reader.json(path)
 
 
+def load_stage(spark: SparkSession, path: str) -> Params:
+    """What ``save_stage`` saved, of whatever class its metadata names."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)
+
+
+def save_models(spark: SparkSession, models: dict[str, Model], seconds: dict[str, float], path: str) -> None:
+    """Fitted models in a folder each, and an index (model, folder, train_time_s) beside them."""
+    rows = []
+    for name, model in models.items():
+        folder = "".join(c if c.isalnum() else "_" for c in name.lower())
+        save_stage(model, f"{path}/{folder}")
+        rows.append((name, folder, seconds.get(name)))
+    if len({folder for _, folder, _ in rows}) < len(rows):
+        raise ValueError("two models would share a folder")
+    export_json(spark.createDataFrame(rows, "model string, folder string, train_time_s double"), f"{path}/index")
+
+
+def load_models(spark: SparkSession, path: str) -> tuple[dict[str, Model], dict[str, float]]:
+    """Models by name and the seconds their fits took, from what ``save_models`` left at ``path``."""
+    schema = "model string, folder string, train_time_s double"
+    rows = read_result_json(spark, f"{path}/index", schema).orderBy("model").collect()
+    return {r["model"]: load_stage(spark, f"{path}/{r['folder']}") for r in rows}, {r["model"]: r["train_time_s"] for r in rows}
+
+
 def save_stage(stage: MLWritable, path: str) -> None:
     """Fitted model or preprocessing stage, in MLlib's own format."""
     stage.write().overwrite().save(path)
