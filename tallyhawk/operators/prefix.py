@@ -8,6 +8,8 @@ on data, never on physical placement, so re-run tasks and adaptive re-planning c
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyhawk.functions.hashing import HASH_BITS
@@ -15,16 +17,12 @@ from tallyhawk.functions.hashing import HASH_BITS
 BUCKET = "_bucket"
 GROUP = "_group"
 RADIX = 8
-MOST_BUCKETS = RADIX**4
+POINTS_PER_BUCKET = 8
 
 
 def default_buckets(spark: SparkSession) -> int:
-    """At least two buckets per shuffle partition, so that they balance across tasks.
-
-    For value buckets, 4,096 at most: that keeps the array of bounds at 32 KB, and 10^11 distinct values at 24 million
-    a bucket. Hash buckets have no such bound.
-    """
-    return min(_power_of_radix(2 * int(spark.conf.get("spark.sql.shuffle.partitions"))), MOST_BUCKETS)
+    """At least two buckets per shuffle partition, so that they balance across tasks."""
+    return _power_of_radix(2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _power_of_radix(wanted: int) -> int:
@@ -42,12 +40,23 @@ def quantile_bucket(df: DataFrame, order: str, counts: list[str], buckets: int |
     needs the very columns the main plan needs, and reads the same shuffle instead of scanning again.
     The number of buckets is rounded up to a power of eight. The lookup descends by one octal digit per
     level, with seven comparisons each, and stays inside generated code.
+
+    Bounds are splitters of a sample sort: about the square root of the partitions' number of merging tasks each turn their share of
+    the partial sketches into evenly spaced points, and of all points, eight per bucket, every eighth is a bound. No task merges all
+    sketches, and what the last one sorts follows the number of buckets, not the rows.
     """
-    buckets = _power_of_radix(buckets) if buckets else default_buckets(df.sparkSession)
-    cuts = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    spark = df.sparkSession
+    buckets = _power_of_radix(buckets) if buckets else default_buckets(spark)
+    merging = max(1, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    each = max(8, -(-POINTS_PER_BUCKET * buckets // merging))
+    cuts = ", ".join(f"{(2 * i + 1) / (2 * each)!r}D" for i in range(each))
     used = sum((F.col(c) for c in counts[1:]), F.col(counts[0])) > -1
-    accuracy = max(10_000, 20 * buckets)
-    bounds = df.filter(used).agg(F.expr(f"percentile_approx(`{order}`, array({cuts}), {accuracy})"))
+    sketches = df.filter(used).groupBy(F.pmod(F.spark_partition_id(), F.lit(merging)).alias("_m")).agg(
+        F.expr(f"percentile_approx(`{order}`, array({cuts}), {20 * each})").alias("_points")
+    )
+    points = F.array_sort(F.flatten(F.collect_list("_points")))
+    every = F.expr(f"transform(sequence(1, {buckets - 1}), i -> get(_all, cast(floor(i * size(_all) / {buckets}D) as int)))")
+    bounds = sketches.agg(points.alias("_all")).select(every)
     placed = df.withColumn("_bounds", bounds.scalar()).withColumn("_at", F.lit(0))
     stride = buckets // RADIX
     while stride:

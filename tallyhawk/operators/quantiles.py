@@ -3,15 +3,16 @@
 The built-in exact ``percentile`` keeps every distinct value of a group in one task's memory, and
 MLlib's ``Imputer`` at zero error sends its whole summary to the driver. Here values are counted,
 given global running counts (see ``prefix``) and the rows at the wanted ranks are kept.
-Nulls and NaNs are left out.
+Per group, only values inside narrow bands are put in order at all. Nulls and NaNs are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.scalars import present
-from tallyhawk.operators.prefix import BUCKET, quantile_bucket, running_totals
+from tallyhawk.operators.prefix import quantile_bucket, running_totals
+from tallyhawk.session import cut_lineage
 
 BAND_ACCURACY = 10_000
 
@@ -138,40 +139,99 @@ def exact_quantiles(
         raise ValueError(f"unknown quantile method {method!r}")
     by = by or []
     if by:
-        counts = value_counts(df, cols, by).withColumn("value_max", F.col("value"))
-    else:
-        counts = _narrowed_counts(df, cols, probs)
+        return _grouped_quantiles(df, cols, probs, by, method)
+    counts = _narrowed_counts(df, cols, probs)
     ranked = running_totals(quantile_bucket(counts, "value", ["n"]), [*by, "feature"], [F.asc("value")], ["n"])
     return select_ranks(ranked, by, probs, method)
 
 
-def box_statistics(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers (outermost values inside the fences) and outlier count per group."""
-    keys = [*by, "feature"]
-    counts = value_counts(df, cols, by).withColumn("value_max", F.col("value"))
-    bucketed = quantile_bucket(counts, "value", ["n"])
-    ranked = running_totals(bucketed, keys, [F.asc("value")], ["n"])
-    quartiles = select_ranks(ranked, by, [0.25, 0.5, 0.75], "linear").groupBy(*keys)
-    quartiles = quartiles.agg(
-        *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
-          for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
-    )
-    # Quartiles reach the values through the bucket table, so the join key is never just the group.
-    # Summing the counts keeps them in this branch too, which then reads the same shuffle as the others.
-    homes = bucketed.groupBy(*keys, BUCKET).agg(F.sum("n").alias("_rows")).filter(F.col("_rows") > 0)
-    facts = _null_safe_join(homes.drop("_rows"), quartiles, keys)
-    placed = _null_safe_join(bucketed, facts, [*keys, BUCKET])
-    iqr = F.col("q3") - F.col("q1")
-    inside = F.col("value").between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
-    return placed.groupBy(*keys).agg(
-        F.sum("n").alias("n"),
-        F.max("q1").alias("q1"),
-        F.max("median").alias("median"),
-        F.max("q3").alias("q3"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("n"))).alias("outliers"),
+def _grouped_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: list[str], method: str) -> DataFrame:
+    """Quantiles per group from bands that surely hold the wanted ranks.
+
+    One sketch per group and column, merged map-side, gives the bands. A second pass counts per group what lies below each band, a third
+    counts the values inside by value, and only these few are put in order. Sketches have a row per group and are stored, so that
+    Spark knows their size when it plans the joins with the rows.
+    """
+    margin = 4.0 / BAND_ACCURACY
+    bands = _merged_bands(probs, margin)
+    edges = [edge for band in bands for edge in band]
+    values = {i: present(F.col(c).cast("double")) for i, c in enumerate(cols)}
+    sketch = df.groupBy(*by).agg(*[F.percentile_approx(v, edges, BAND_ACCURACY).alias(f"_s{i}") for i, v in values.items()])
+    flat = [F.get(f"_s{i}", F.lit(k)).alias(f"_e{i}_{k}") for i in values for k in range(len(edges))]
+    marked = _null_safe_join(df.select(*by, *[v.alias(f"_v{i}") for i, v in values.items()]), cut_lineage(sketch.select(*by, *flat)), by)
+
+    places = [(i, k) for i in values for k in range(len(bands))]
+    below = marked.groupBy(*by).agg(
+        *[F.count(f"_v{i}").alias(f"_n{i}") for i in values],
+        *[F.count_if(F.col(f"_v{i}") < F.col(f"_e{i}_{2 * k}")).alias(f"_b{i}_{k}") for i, k in places],
     )
+    records = [F.struct(F.lit(cols[i]).alias("feature"), F.lit(k).alias("band"), F.col(f"_n{i}").alias("total"), F.col(f"_b{i}_{k}").alias("before")) for i, k in places]
+    below = below.select(*by, F.explode(F.array(*records)).alias("_r")).select(*by, "_r.*")
+
+    def band_of(i: int) -> Column:
+        chosen = F.lit(None).cast("int")
+        for k in range(len(bands)):
+            chosen = F.when(F.col(f"_v{i}").between(F.col(f"_e{i}_{2 * k}"), F.col(f"_e{i}_{2 * k + 1}")), F.lit(k)).otherwise(chosen)
+        return chosen
+
+    found = marked.select(*by, *[f"_v{i}" for i in values], *[band_of(i).alias(f"_k{i}") for i in values])
+    inside = [F.struct(F.lit(cols[i]).alias("feature"), F.col(f"_k{i}").alias("band"), F.col(f"_v{i}").alias("value")) for i in values]
+    inside = found.select(*by, F.explode(F.array(*inside)).alias("_r")).filter(F.col("_r.band").isNotNull()).select(*by, "_r.*")
+    counts = inside.groupBy(*by, "feature", "band", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    keys = [*by, "feature", "band"]
+    # a band holds about a thousandth of its group's rows, counted by value
+    along = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumns({"run_n": F.sum("n").over(along), "tot_n": F.sum("n").over(Window.partitionBy(*keys))})
+    ranked = _null_safe_join(ranked, below, keys)
+    run, before = F.col("before") + F.col("run_n"), F.col("before") + F.col("run_n") - F.col("n")
+    picks = []
+    for p in probs:
+        band = next(k for k, (low, high) in enumerate(bands) if low <= p <= high)
+        low, high, weight = _rank_window(p, F.col("total"), method)
+
+        def at(rank: Column) -> Column:
+            return F.when((rank >= before) & (rank < run), F.col("value"))
+
+        outside = (low < F.col("before")) | (high >= F.col("before") + F.col("tot_n"))
+        checked = F.when(outside, F.raise_error(F.lit("quantile rank fell outside its band")).cast("double")).otherwise(weight)
+        picks.append(F.when(
+            F.col("band") == band, F.struct(F.lit(p).alias("p"), at(low).alias("low"), at(high).alias("high"), checked.cast("double").alias("weight"))
+        ))
+    hits = ranked.select(*by, "feature", F.explode(F.array(*picks)).alias("_p")).filter(F.col("_p").isNotNull()).select(*by, "feature", "_p.*")
+    ends = hits.groupBy(*by, "feature", "p").agg(*[F.max(c).alias(c) for c in ("low", "high", "weight")])
+    return ends.select(*by, "feature", "p", (F.col("low") + F.col("weight") * (F.col("high") - F.col("low"))).alias("q"))
+
+
+def box_statistics(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """Quartiles, 1.5 IQR whiskers (outermost values inside the fences) and outlier count per group.
+
+    The quartiles come out of bands and have a row per group and column. They are stored and joined to the rows once more, where whiskers and
+    outliers are aggregates that combine map-side. No step shuffles the values.
+    """
+    quarters = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    quartiles = exact_quantiles(df, cols, [p for _, p in quarters], by).groupBy(*by).agg(*[
+        F.max(F.when((F.col("feature") == c) & (F.col("p") == p), F.col("q"))).alias(f"_{name}{i}")
+        for i, c in enumerate(cols) for name, p in quarters
+    ])
+    iqr = [F.col(f"_q3{i}") - F.col(f"_q1{i}") for i in range(len(cols))]
+    fences = {}
+    for i in range(len(cols)):
+        fences |= {f"_lo{i}": F.col(f"_q1{i}") - 1.5 * iqr[i], f"_hi{i}": F.col(f"_q3{i}") + 1.5 * iqr[i]}
+    values = [present(F.col(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(cols)]
+    marked = _null_safe_join(df.select(*by, *values), cut_lineage(quartiles.withColumns(fences)), by)
+    aggregates, records = [], []
+    for i, c in enumerate(cols):
+        value = F.col(f"_v{i}")
+        inside = value.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+        aggregates += [
+            F.count(value).alias(f"n{i}"), *[F.first(f"_{name}{i}").alias(f"{name}{i}") for name, _ in quarters],
+            F.min(F.when(inside, value)).alias(f"low{i}"), F.max(F.when(inside, value)).alias(f"high{i}"), F.count_if(~inside).alias(f"out{i}"),
+        ]
+        fields = {"n": "n", "q1": "q1", "median": "median", "q3": "q3", "whisker_low": "low", "whisker_high": "high", "outliers": "out"}
+        records.append(F.struct(F.lit(c).alias("feature"), *[F.col(f"{short}{i}").alias(name) for name, short in fields.items()]))
+    summed = marked.groupBy(*by).agg(*aggregates)
+    return summed.select(*by, F.explode(F.array(*records)).alias("_r")).select(*by, "_r.*").filter("n > 0")
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

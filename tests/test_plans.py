@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhawk.operators import explore, quantiles, sampling, tables
+from tallyhawk.operators import explore, prefix, quantiles, sampling, tables
 from tallyhawk.operators.curves import roc_points, threshold_counts
 from tallyhawk.plans.catalog import ORACLES, QUERIES
 from tallyhawk.plans.entities import entities, scored_entities
@@ -39,8 +39,8 @@ def test_running_counts_read_the_data_once_and_never_sort_it_in_one_task(spark,
     text = final_plan(threshold_counts(scored_entities(spark, small)))
     assert executed_scans(text) == 1
     assert "ReusedExchange" in text and "ReusedSubquery" in text
-    # Only the sketch of the bucket bounds, already partial, meets in one task.
-    assert set(re.findall(r"Exchange SinglePartition.*\n.*\(keys=\[\], functions=\[(\w+)\(", text)) == {"partial_percentile_approx"}
+        # Only the points that the merging tasks have made of their sketches meet in one task.
+    assert set(re.findall(r"Exchange SinglePartition.*\n.*\(keys=\[\], functions=\[(\w+)\(", text)) == {"partial_collect_list"}
     assert text.count("Exchange SinglePartition") == len(re.findall(r"Exchange SinglePartition.*\n.*partial_percentile_approx", text))
     # The lookup of the bucket is not evaluated below the aggregation.
     assert "isnotnull(aggregate" not in text
@@ -50,9 +50,21 @@ def test_curve_points_share_one_scan(spark, small):
     assert executed_scans(final_plan(roc_points(scored_entities(spark, small), every=50))) == 1
 
 
-def test_box_statistics_read_the_data_once(spark, small):
-    text = final_plan(quantiles.box_statistics(lineitem(spark, small), ["l_quantity", "l_tax"], ["l_returnflag"]))
-    assert executed_scans(text) == 1
+def test_box_statistics_shuffle_partial_sums_only(spark, small):
+    text = plan(quantiles.box_statistics(lineitem(spark, small), ["l_quantity", "l_tax"], ["l_returnflag"]))
+    # the quartiles are stored by then, and a row of lineitem meets them where it is read
+    assert "SortMergeJoin" not in text and text.count("Exchange hashpartitioning") == 1
+    assert "Generate" not in text.split("Exchange hashpartitioning")[1]
+
+
+def test_splitters_are_merged_in_two_levels(spark):
+    df = spark.range(0, 20_000).select((F.col("id") * 7919 % 20_011).cast("double").alias("v"), F.lit(1).cast("long").alias("n"))
+    for buckets in (8, 512, 8192):
+        found = prefix.quantile_bucket(df.repartition(9), "v", ["n"], buckets).groupBy("_bucket").agg(
+            F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        ).orderBy("_bucket").collect()
+        assert all(a["high"] < b["low"] for a, b in zip(found, found[1:]))
+        assert max(r["n"] for r in found) <= 4 * 20_000 / buckets + 4
 
 
 def test_narrow_reads(spark, small):
