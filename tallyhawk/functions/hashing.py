@@ -6,7 +6,7 @@ repartitioning and task retries, and can be recomputed by any engine that has MD
 
 from __future__ import annotations
 
-from math import exp, factorial
+from math import exp, factorial, lgamma, log
 
 from pyspark.sql import Column, functions as F
 
@@ -45,8 +45,18 @@ def unit_hash(key: Column | str, salt: Column | str | int | None = None) -> Colu
     return key_hash(key, salt) / F.lit(float(HASH_SPACE))
 
 
+def poisson_cdf(mean: int) -> list[float]:
+    """Cumulative probabilities of the Poisson distribution, until less than 2^-32 is left."""
+    bounds, below, events = [], 0.0, 0
+    while 1.0 - below >= 2.0**-32 or events < mean:
+        below += exp(events * log(mean) - mean - lgamma(events + 1))
+        bounds.append(below)
+        events += 1
+    return bounds
+
+
 def poisson_one_cdf() -> list[float]:
-    """Cumulative probabilities of the Poisson distribution with mean 1, until less than 2^-32 is left."""
+    """The same for mean 1."""
     bounds, below, events = [], 0.0, 0
     while 1.0 - below >= 2.0**-32:
         below += exp(-1.0) / factorial(events)

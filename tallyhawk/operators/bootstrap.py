@@ -2,19 +2,27 @@
 
 Drawing n rows with replacement makes the four cells multinomial with n trials and the observed cell
 shares. Drawing the cells directly is therefore the same bootstrap, at a cost of models x replicates.
+
+The Poisson bootstrap gives each row a Poisson(1) weight. Rows that no metric tells apart may be counted first: the sum of n such weights is
+Poisson(n). ``stratum_bootstrap`` draws that sum from hashes, so that any engine with MD5 gets the same numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import pi
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyhawk.functions.hashing import key_bucket, poisson_cdf, unit_hash
 from tallyhawk.operators.metrics import CELLS, weighted_confusion, summary_metrics
 from tallyhawk.operators.sampling import bootstrap_weights
 
+STRATA = 8
+DIGITS = 8
+
 
 def cell_bootstrap(cells: DataFrame, replicates: int = 1000, seed: int = 42, by: str = "model") -> DataFrame:
     """(by, replicate, tp, fp, fn, tn): one multinomial draw per model and replicate."""
@@ -39,6 +47,38 @@ def row_bootstrap(scored: DataFrame, key: str, replicates: int, by: str = "model
     return weighted_confusion(drawn, "weight", [by, "replicate"])
 
 
+def stratum_counts(scored: DataFrame, key: str, strata: int = STRATA, by: str = "model") -> DataFrame:
+    """(by, cell, stratum, n): rows per confusion cell and hash stratum of the row key; a cell is '<label><prediction>'."""
+    cell = F.concat(F.col("label").cast("string"), F.col("prediction").cast("string"))
+    return scored.groupBy(by, cell.alias("cell"), key_bucket(key, strata, "stratum").cast("int").alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def stratum_bootstrap(counts: DataFrame, replicates: int = 1000, by: str = "model") -> DataFrame:
+    """(by, replicate, tp, fp, fn, tn) from ``stratum_counts``: a Poisson(n) draw per count and replicate, whatever n is.
+
+    A count is a sum of powers of two, and Poisson draws add up, so below 256 each binary digit is drawn by inversion of its own
+    distribution. What is left is a multiple of 256 and drawn as the normal quantile with the skewness term, whose
+    distribution function differs from Poisson's by less than 0.001. Draws take their uniform numbers from a hash
+    of model, cell, stratum, digit and replicate.
+    """
+    spark = counts.sparkSession
+    tables = spark.createDataFrame([(b, poisson_cdf(1 << b)) for b in range(DIGITS)], "digit int, below array<double>")
+    high = F.col("n") - F.col("n") % (1 << DIGITS)
+    digits = F.array(*[F.when(F.shiftright("n", b) % 2 == 1, F.lit(b)) for b in range(DIGITS)], F.when(high > 0, F.lit(DIGITS)))
+    drawn = counts.withColumn("high", high).withColumn("digit", F.explode(digits)).filter(F.col("digit").isNotNull())
+    drawn = drawn.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    name = F.concat_ws("|", by, "cell", F.col("stratum"), F.col("digit"))
+    drawn = drawn.withColumns({"u": unit_hash(name, F.col("replicate")), "v": unit_hash(name, F.concat(F.lit("v"), F.col("replicate")))})
+    drawn = drawn.join(tables, "digit", "left")
+    small = F.size(F.filter("below", lambda bound: bound <= F.col("u")))
+    z = F.sqrt(-2 * F.log(1 - F.col("u"))) * F.cos(2 * pi * F.col("v"))
+    large = F.greatest(F.lit(0), F.floor(F.col("high") + F.sqrt("high") * z + (z * z - 1) / 6 + 0.5))
+    drawn = drawn.withColumn("weight", F.when(F.col("digit") < DIGITS, small).otherwise(large).cast("bigint"))
+    cells = {"tp": "11", "fp": "01", "fn": "10", "tn": "00"}
+    sums = [F.coalesce(F.sum(F.when(F.col("cell") == code, F.col("weight"))), F.lit(0)).alias(name) for name, code in cells.items()]
+    return drawn.groupBy(by, "replicate").agg(*sums)
+
+
 def f1_interval(replicates: DataFrame, alpha: float = 0.05, by: str = "model") -> DataFrame:
     """(by, mean_f1, ci_lower, ci_upper): percentile interval over replicates, linear between ranks.
 

@@ -8,7 +8,7 @@ from tallyhawk.functions.scalars import percent
 from tallyhawk.operators import explore, layout, quality, quantiles, tables
 from tallyhawk.operators.quality import Expectations
 from tallyhawk.plans.entities import entities
-from tallyhawk.plans.registry import ENTITIES, GAPPY, below_sql, bucket_sql, query, rounded
+from tallyhawk.plans.registry import ENTITIES, GAPPY, below_sql, bucket_sql, hash_sql, query, rounded
 from tallyhawk.functions.hashing import key_bucket
 from tallyhawk.session import cached, cut_lineage, ensure_checkpoint_dir, scratch_path
 from tallyhawk.sources import dimensions, readers, writers
@@ -206,13 +206,51 @@ def s11_reread(spark, sf_dir):
     return writers.read_result_csv(spark, path, "l_returnflag string, n long")
 
 
-@query("s12_dataset_size")
+@query(
+    "s9_ordered_export",
+    "SELECT o_custkey, o_orderkey, (row_number() OVER (ORDER BY o_custkey, o_orderkey)) AS place, TRUE AS many_files FROM orders",
+)
+def s9_ordered(spark, sf_dir):
+    """Orders exported in several files at once; places follow from the names of the files and the lines in them."""
+    from pyspark.sql import Window
+
+    path = scratch_path(spark, "ordered-export")
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    writers.export_ordered_csv(orders, path, ["o_custkey", "o_orderkey"], rows_per_file=500)
+    back = writers.read_result_csv(spark, path, "o_custkey long, o_orderkey long")
+    back = back.select("*", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("file"))
+    inside = back.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("o_custkey", "o_orderkey")))
+    sizes = back.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("file")) - F.col("n")).drop("n")
+    files = sizes.agg(F.count(F.lit(1)) > 1).scalar()
+    return inside.join(before, "file").select(
+        "o_custkey", "o_orderkey", (F.col("before") + F.col("line")).alias("place"), files.alias("many_files")
+    )
+
+
+@query(
+    "s12_dataset_size",
+    "SELECT COUNT(DISTINCT l_returnflag) + 1 AS files, COUNT(DISTINCT l_returnflag) AS files_with_rows, COUNT(*) AS n_rows, TRUE AS has_bytes FROM lineitem",
+)
 def s12_size(spark, sf_dir):
-    """Bytes of the same columns as CSV and as Parquet, and their ratio."""
-    csv = readers.read_untyped_csv(spark, flawed_csv(spark, sf_dir))
+    """One file per return flag and one without rows, all of which the listing finds."""
     path = scratch_path(spark, "sized")
-    csv.write.parquet(path)
-    return layout.size_ratio(csv, spark.read.parquet(path))
+    counts = lineitem(spark, sf_dir).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    counts.repartitionByRange(1, "l_returnflag").write.option("maxRecordsPerFile", 1).parquet(path)
+    counts.limit(0).write.mode("append").parquet(path)
+    rows = spark.read.parquet(path).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("files_with_rows"))
+    size = layout.dataset_size(readers.list_files(spark, path))
+    return rows.select(
+        size.select("files").scalar().alias("files"), "files_with_rows", "n_rows", size.select(F.col("bytes") > 0).scalar().alias("has_bytes")
+    )
+
+
+@query("s12_size_ratio")
+def s12_ratio(spark, sf_dir):
+    """Bytes of the same columns as CSV and as Parquet, and their ratio."""
+    csv, path = flawed_csv(spark, sf_dir), scratch_path(spark, "sized")
+    readers.read_untyped_csv(spark, csv).write.parquet(path)
+    return layout.size_ratio(readers.list_files(spark, csv), readers.list_files(spark, path))
 
 
 # Partitioning and caching
@@ -391,9 +429,22 @@ def a12(spark, sf_dir):
     return rounded(found, 4)
 
 
-@query("a13_partition_rows")
+@query(
+    "a13_partition_rows",
+    "SELECT COUNT(*) AS n_rows, 16::BIGINT AS partitions, COUNT(DISTINCT l_orderkey) AS orders, 0::BIGINT AS split_orders, 0::BIGINT AS elsewhere FROM lineitem",
+)
 def a13(spark, sf_dir):
-    return layout.partition_rows(layout.hash_repartition(lineitem(spark, sf_dir), 16, "l_returnflag"))
+    """Rows per partition of a stored frame that carries its partition numbers: every file holds one number's rows, and no order lies in two."""
+    spread = layout.tagged(layout.hash_repartition(lineitem(spark, sf_dir).select("l_orderkey"), 16, "l_orderkey"))
+    stored = cut_lineage(spread)
+    counts = layout.tagged_rows(stored, 16)
+    orders = stored.groupBy("l_orderkey").agg(F.count_distinct("partition").alias("places"))
+    files = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("partition").alias("low"), F.max("partition").alias("high"))
+    return counts.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("partitions")).select(
+        "n_rows", "partitions", orders.agg(F.count(F.lit(1))).scalar().alias("orders"),
+        orders.agg(F.count_if(F.col("places") > 1)).scalar().alias("split_orders"),
+        files.agg(F.count_if(F.col("low") != F.col("high"))).scalar().alias("elsewhere"),
+    )
 
 
 BUCKET_LOADS = f"loads AS (SELECT {bucket_sql('user_id', 64)} AS bucket, COUNT(*) AS n FROM events GROUP BY 1)"
@@ -619,10 +670,12 @@ def t2(spark, sf_dir):
     return explore.top_rows(events, [F.desc("value"), F.asc("event_id")], 1000)
 
 
-@query("t3_capped_sample", "SELECT 500::BIGINT AS n_rows, 4::BIGINT AS partitions FROM (SELECT COUNT(*) FROM events)")
+@query(
+    "t3_capped_sample",
+    f"SELECT event_id, event_type FROM events QUALIFY row_number() OVER (ORDER BY {hash_sql('event_id', 'cap')}) <= 500",
+)
 def t3(spark, sf_dir):
-    spread = layout.capped_sample(read_table(spark, sf_dir, "events").select("event_id"), 500, 4)
-    return layout.partition_rows(spread).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("partitions"))
+    return layout.capped_sample(read_table(spark, sf_dir, "events").select("event_id", "event_type"), 500, 4, "event_id")
 
 
 @query("t4_head", "SELECT event_id, value FROM events ORDER BY event_id LIMIT 5")

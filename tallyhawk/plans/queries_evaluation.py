@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyhawk.functions.hashing import key_bucket
+from tallyhawk.functions.hashing import HASH_SPACE, key_bucket, poisson_cdf
 from tallyhawk.operators import bootstrap, curves, metrics, quality, tables
 from tallyhawk.plans.entities import entities, scored_entities
 from tallyhawk.plans.queries_features import poisson_sql
 from tallyhawk.plans.registry import (
-    ACCURACY_SQL, CELLS, CURVE, ENTITIES, F1_SQL, PRECISION_SQL, SCORED, bucket_sql, query, rounded,
+    ACCURACY_SQL, CELLS, CURVE, ENTITIES, F1_SQL, PRECISION_SQL, SCORED, bucket_sql, hash_sql, query, rounded,
 )
 
 
@@ -67,11 +67,12 @@ ROC = (
 
 @query(
     "e5_roc_points",
-    f"WITH {ROC} SELECT model, place, threshold, ROUND(fpr,6) AS fpr, ROUND(tpr,6) AS tpr FROM points WHERE threshold < 1e300",
+    f"WITH {ROC} SELECT model, place, threshold, ROUND(fpr,6) AS fpr, ROUND(tpr,6) AS tpr FROM (SELECT * REPLACE (CASE WHEN place > 0 THEN threshold END AS threshold) FROM points)",
 )
 def e5(spark, sf_dir):
-    points = curves.roc_points(scored_entities(spark, sf_dir))
-    return rounded(points.filter(F.col("place") > 0))
+    """All points; the origin's threshold, infinity, is shown as null."""
+    points = rounded(curves.roc_points(scored_entities(spark, sf_dir)))
+    return points.withColumn("threshold", F.when(F.col("place") > 0, F.col("threshold")))
 
 
 @query(
@@ -141,11 +142,51 @@ BOOTSTRAP_CELLS = (
 )
 
 
-@query("m12_bootstrap_cells", f"WITH {BOOTSTRAP_CELLS} SELECT * FROM resampled")
-def m12_cells(spark, sf_dir):
+@query("m12_bootstrap_rows", f"WITH {BOOTSTRAP_CELLS} SELECT * FROM resampled")
+def m12_rows(spark, sf_dir):
     return bootstrap.row_bootstrap(scored_entities(spark, sf_dir), "entity_id", 20)
 
 
+def _stratum_sql() -> str:
+    """``resampled``: 1,000 replicates of the cells from Poisson draws of stratum counts."""
+    digits, tables = bootstrap.DIGITS, []
+    for digit in range(digits):
+        bounds = poisson_cdf(1 << digit)
+        # a draw is how many bounds are at or below the uniform number: the last entry whose bound is
+        tables += [f"({digit},0,-1.0)"] + [f"({digit},{k + 1},{bound!r})" for k, bound in enumerate(bounds)]
+    name = "model||'|'||cell||'|'||stratum||'|'||digit"
+
+    def unit(salt: str) -> str:
+        text = f"{name}||'-'||{salt}replicate"
+        return hash_sql(text) + f"/{HASH_SPACE}::DOUBLE"
+    return (
+        f"{SCORED}, strata AS (SELECT model, label::VARCHAR||prediction::VARCHAR AS cell, {bucket_sql('entity_id', bootstrap.STRATA, 'stratum')} AS stratum, "
+        f"COUNT(*) AS n FROM scored GROUP BY 1, 2, 3), tables(digit, k, bound) AS (VALUES {', '.join(tables)}), "
+        f"draws AS (SELECT *, {unit('')} AS u, {unit("'v'||")} AS v FROM "
+        f"(SELECT *, n - n % {1 << digits} AS high FROM strata, (SELECT UNNEST(range({digits + 1}))::INT AS digit) "
+        f"WHERE CASE WHEN digit < {digits} THEN (n >> digit) % 2 = 1 ELSE n >= {1 << digits} END), (SELECT UNNEST(range(1000))::INT AS replicate)), "
+        "normal AS (SELECT *, sqrt(-2*ln(1-u))*cos(2*pi()*v) AS z FROM draws), "
+        f"weights AS (SELECT model, cell, replicate, k::BIGINT AS weight FROM (SELECT * FROM draws WHERE digit < {digits}) d "
+        "ASOF JOIN tables t ON d.digit = t.digit AND d.u >= t.bound "
+        f"UNION ALL SELECT model, cell, replicate, greatest(0, floor(high + sqrt(high)*z + (z*z-1)/6 + 0.5))::BIGINT FROM normal WHERE digit = {digits}), "
+        "resampled AS (SELECT model, replicate, "
+        + ", ".join(f"SUM(CASE WHEN cell='{code}' THEN weight ELSE 0 END)::BIGINT AS {c}" for c, code in (("tp", "11"), ("fp", "01"), ("fn", "10"), ("tn", "00")))
+        + " FROM weights GROUP BY model, replicate)"
+    )
+
+
+STRATUM_CELLS = _stratum_sql()
+
+
+def stratum_replicates(spark, sf_dir):
+    return bootstrap.stratum_bootstrap(bootstrap.stratum_counts(scored_entities(spark, sf_dir), "entity_id"), 1000)
+
+
+@query("m12_bootstrap_cells", f"WITH {STRATUM_CELLS} SELECT * FROM resampled")
+def m12_cells(spark, sf_dir):
+    return stratum_replicates(spark, sf_dir)
+
+
 @query(
     "e7_bootstrap_interval_rows",
     f"WITH {BOOTSTRAP_CELLS}, r AS (SELECT model, {F1_SQL} AS f1 FROM resampled) "
@@ -157,8 +198,18 @@ def e7_rows(spark, sf_dir):
     return rounded(bootstrap.f1_interval(drawn))
 
 
-@query("e7_bootstrap_interval")
+@query(
+    "e7_bootstrap_interval",
+    f"WITH {STRATUM_CELLS}, r AS (SELECT model, {F1_SQL} AS f1 FROM resampled) "
+    "SELECT model, ROUND(AVG(f1),6) AS mean_f1, ROUND(quantile_cont(f1,0.025),6) AS ci_lower, "
+    "ROUND(quantile_cont(f1,0.975),6) AS ci_upper FROM r GROUP BY model",
+)
 def e7(spark, sf_dir):
+    return rounded(bootstrap.f1_interval(stratum_replicates(spark, sf_dir)))
+
+
+@query("e7_bootstrap_interval_multinomial")
+def e7_multinomial(spark, sf_dir):
     cells = metrics.confusion(scored_entities(spark, sf_dir))
     return rounded(bootstrap.f1_interval(bootstrap.cell_bootstrap(cells, 1000)))
 

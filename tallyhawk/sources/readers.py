@@ -97,3 +97,9 @@ def ingest_csv(
 
 def with_load_time(df: DataFrame, name: str = "ingestion_ts") -> DataFrame:
     return df.withColumn(name, F.current_timestamp())
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files below ``path``, partition folders included. Only the listing is read, never the contents; files of zero
+    bytes are not listed."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")

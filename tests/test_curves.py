@@ -173,3 +173,39 @@ def test_class_report_of_a_model_that_never_predicts_positive(spark):
     report = {r["class"]: r for r in metrics.class_report(cells).collect()}
     assert (report[1]["precision"], report[1]["recall"], report[1]["f1"], report[1]["support"]) == (0.0, 0.0, 0.0, 4)
     assert report[0]["recall"] == 1.0
+
+
+def test_stratum_draws_have_poisson_moments_and_do_not_depend_on_placement(spark):
+    counts = spark.createDataFrame([("m", "11", 0, 3), ("m", "01", 0, 200), ("m", "10", 1, 1000), ("m", "00", 2, 2_000_000_000)], "model string, cell string, stratum int, n long")
+    draws = bootstrap.stratum_bootstrap(counts, 3000)
+    got = draws.orderBy("replicate").collect()
+    assert got == bootstrap.stratum_bootstrap(counts.repartition(5), 3000).orderBy("replicate").collect() and len(got) == 3000
+    for cell, n in (("tp", 3), ("fp", 200), ("fn", 1000), ("tn", 2_000_000_000)):
+        values = [r[cell] for r in got]
+        mean = sum(values) / 3000
+        variance = sum((v - mean) ** 2 for v in values) / 2999
+        assert abs(mean - n) < 4 * (n / 3000) ** 0.5 and variance == pytest.approx(n, rel=0.15)
+
+
+def test_normal_quantile_with_skewness_is_close_to_poisson():
+    import math
+    from statistics import NormalDist
+
+    from tallyhawk.functions.hashing import poisson_cdf
+
+    mean, exact = 256, poisson_cdf(256)
+    for k in range(180, 340, 3):
+        # the share of normal numbers whose draw is k at most: solve mean + sqrt(mean) z + (z^2 - 1) / 6 = k + 1/2
+        root = math.sqrt(mean - 4 / 6 * (mean - 1 / 6 - k - 0.5))
+        assert abs(NormalDist().cdf(3 * (root - math.sqrt(mean))) - exact[k]) < 1e-3
+
+
+def test_stratum_and_row_bootstrap_agree(spark):
+    df = spark.range(4000).select("id", F.lit("m").alias("model"), (F.col("id") % 9 == 0).cast("int").alias("label"),
+                                  (F.col("id") % 10 < 2).cast("int").alias("prediction"))
+    counts = bootstrap.stratum_counts(df, "id")
+    assert counts.agg(F.sum("n")).first()[0] == 4000 and counts.count() <= 4 * bootstrap.STRATA
+    a = bootstrap.f1_interval(bootstrap.stratum_bootstrap(counts, 400)).first()
+    b = bootstrap.f1_interval(bootstrap.row_bootstrap(df, "id", 400)).first()
+    assert a["mean_f1"] == pytest.approx(b["mean_f1"], abs=0.003)
+    assert a["ci_upper"] - a["ci_lower"] == pytest.approx(b["ci_upper"] - b["ci_lower"], rel=0.3)

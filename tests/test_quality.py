@@ -69,8 +69,25 @@ def test_partition_outliers(spark):
 
 
 def test_capped_sample_is_spread(spark):
-    out = layout.capped_sample(spark.range(1000), 100, 4)
-    assert out.count() == 100 and out.rdd.getNumPartitions() == 4
+    df = spark.range(100_000)
+    for rows in (0, 1, 100, 33_333, 99_999, 100_000, 200_000):
+        out = layout.capped_sample(df, rows, 4, "id")
+        assert out.count() == min(rows, 100_000) and out.rdd.getNumPartitions() == 4
+    assert "SinglePartition" not in layout.capped_sample(df, 100, 4, "id")._jdf.queryExecution().executedPlan().toString()
+    small, large = (set(layout.capped_sample(df, n, 4, "id").collect()) for n in (50, 500))
+    assert small < large and small == set(layout.capped_sample(df.repartition(7), 50, 2, "id").collect())
+    # copies of a key go together, within the cap
+    assert layout.capped_sample(spark.createDataFrame([(1,)] * 5 + [(2,)] * 2, "id int"), 4, 1, "id").count() in (0, 2)
+    assert layout.capped_sample(spark.range(0), 5, 3, "id").count() == 0
+
+
+def test_tagged_counts_speak_of_the_stored_partitions(spark, tmp_path):
+    layout.tagged(spark.range(900).repartition(5, F.col("id") % 3)).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    counts = {r["partition"]: r["n"] for r in layout.tagged_rows(stored, 5).collect()}
+    by_file = stored.groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.count_distinct("partition").alias("tags")).collect()
+    assert len(counts) == 5 and sum(counts.values()) == 900
+    assert sorted(r["n"] for r in by_file) == sorted(n for n in counts.values() if n) and {r["tags"] for r in by_file} == {1}
 
 
 def test_enrich_small_and_large_dimension(spark):

@@ -105,9 +105,10 @@ def test_dataset_size_and_ratio(spark, tmp_path):
     df = spark.range(5000).select("id", F.lit("same").alias("s"))
     df.repartition(3).write.parquet(str(tmp_path / "p"))
     df.repartition(2).write.option("header", True).csv(str(tmp_path / "c"))
-    parquet, csv = spark.read.parquet(str(tmp_path / "p")), readers.read_untyped_csv(spark, str(tmp_path / "c"))
+    spark.range(0).select("id", F.lit("same").alias("s")).write.mode("append").parquet(str(tmp_path / "p"))
+    parquet, csv = readers.list_files(spark, str(tmp_path / "p")), readers.list_files(spark, str(tmp_path / "c"))
     on_disk = sum(f.stat().st_size for f in (tmp_path / "p").glob("*.parquet"))
-    assert tuple(layout.dataset_size(parquet).first()) == (3, on_disk)
+    assert tuple(layout.dataset_size(parquet).first()) == (4, on_disk)
     assert layout.size_ratio(csv, parquet).first()["ratio"] == pytest.approx(
         sum(f.stat().st_size for f in (tmp_path / "c").glob("*.csv")) / on_disk
     )
@@ -124,3 +125,11 @@ def test_wide_schema_and_dimension(spark):
 
 def test_load_time_is_a_timestamp(spark):
     assert dict(readers.with_load_time(spark.range(1)).dtypes)["ingestion_ts"] == "timestamp"
+
+
+def test_ordered_export_keeps_the_order_over_its_files(spark, tmp_path):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("a"), (F.col("id") % 5).alias("b"))
+    writers.export_ordered_csv(df, str(tmp_path / "o"), ["a", "b"], rows_per_file=700)
+    files = sorted((tmp_path / "o").glob("part-*.csv"))
+    lines = [line for f in files for line in f.read_text().splitlines() if line != "a,b"]
+    assert len(files) == 5 and [tuple(map(int, line.split(","))) for line in lines] == sorted(tuple(r) for r in df.collect())
