@@ -14,7 +14,7 @@ from math import pi
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhawk.functions.hashing import key_bucket, poisson_cdf, unit_hash
 from tallyhawk.operators.metrics import CELLS, weighted_confusion, summary_metrics
@@ -53,6 +53,18 @@ def stratum_counts(scored: DataFrame, key: str, strata: int = STRATA, by: str =
     return scored.groupBy(by, cell.alias("cell"), key_bucket(key, strata, "stratum").cast("int").alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
 
 
+CELL_CODES = {"tp": "11", "fp": "01", "fn": "10", "tn": "00"}
+
+
+def stratum_cells(counts: DataFrame, by: str = "model") -> DataFrame:
+    """(by, tp, fp, fn, tn): the confusion cells again, from ``stratum_counts``."""
+    return counts.groupBy(by).agg(*_cell_sums("n"))
+
+
+def _cell_sums(value: str) -> list[Column]:
+    return [F.coalesce(F.sum(F.when(F.col("cell") == code, F.col(value))), F.lit(0)).alias(name) for name, code in CELL_CODES.items()]
+
+
 def stratum_bootstrap(counts: DataFrame, replicates: int = 1000, by: str = "model") -> DataFrame:
     """(by, replicate, tp, fp, fn, tn) from ``stratum_counts``: a Poisson(n) draw per count and replicate, whatever n is.
 
@@ -74,9 +86,7 @@ def stratum_bootstrap(counts: DataFrame, replicates: int = 1000, by: str = "mode
     z = F.sqrt(-2 * F.log(1 - F.col("u"))) * F.cos(2 * pi * F.col("v"))
     large = F.greatest(F.lit(0), F.floor(F.col("high") + F.sqrt("high") * z + (z * z - 1) / 6 + 0.5))
     drawn = drawn.withColumn("weight", F.when(F.col("digit") < DIGITS, small).otherwise(large).cast("bigint"))
-    cells = {"tp": "11", "fp": "01", "fn": "10", "tn": "00"}
-    sums = [F.coalesce(F.sum(F.when(F.col("cell") == code, F.col("weight"))), F.lit(0)).alias(name) for name, code in cells.items()]
-    return drawn.groupBy(by, "replicate").agg(*sums)
+    return drawn.groupBy(by, "replicate").agg(*_cell_sums("weight"))
 
 
 def f1_interval(replicates: DataFrame, alpha: float = 0.05, by: str = "model") -> DataFrame:

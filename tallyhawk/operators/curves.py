@@ -45,7 +45,11 @@ def curve_areas(scored: DataFrame, by: str = "model") -> DataFrame:
 
     Average precision is the sum of precision times recall gained per threshold, not a trapezoid.
     """
-    counts = threshold_counts(scored, by)
+    return areas_of(threshold_counts(scored, by), by)
+
+
+def areas_of(counts: DataFrame, by: str = "model") -> DataFrame:
+    """The areas from ``threshold_counts``."""
     pairs = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
     gained = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
     positives, negatives = F.max("positives"), F.max("negatives")
@@ -61,7 +65,11 @@ def roc_points(scored: DataFrame, every: int = 1, drop_collinear: bool = False,
     ``every`` keeps each n-th point and always the last. ``drop_collinear`` first leaves out points
     in the middle of a straight run, where the counts repeat those of the next threshold.
     """
-    counts = threshold_counts(scored, by)
+    return roc_of(threshold_counts(scored, by), every, drop_collinear, by)
+
+
+def roc_of(counts: DataFrame, every: int = 1, drop_collinear: bool = False, by: str = "model") -> DataFrame:
+    """The same from ``threshold_counts``."""
     if drop_collinear:
         counts = _corners(counts, by)
     wanted = (F.col("place") % every == 0) | (F.col("place") == F.col("places"))
@@ -112,7 +120,11 @@ def pr_points(scored: DataFrame, every: int = 1, by: str = "model") -> DataFrame
     The final point, beyond the highest threshold, is precision 1 at recall 0. ``every`` keeps each
     n-th point and always the final one.
     """
-    counts = threshold_counts(scored, by)
+    return pr_of(threshold_counts(scored, by), every, by)
+
+
+def pr_of(counts: DataFrame, every: int = 1, by: str = "model") -> DataFrame:
+    """The same from ``threshold_counts``."""
     at = F.col("places") - F.col("place")
     point = _point(
         at,

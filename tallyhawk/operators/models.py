@@ -144,7 +144,12 @@ def score(models: dict[str, Model], df: DataFrame, key: str, label: str = "label
 
 def performance(scored: DataFrame) -> DataFrame:
     """(model, auc_roc, f1, accuracy, precision, recall). One row per model on both sides of the join."""
-    return curve_areas(scored).select("model", "auc_roc").join(weighted_metrics(confusion(scored)), "model")
+    return performance_of(curve_areas(scored), confusion(scored))
+
+
+def performance_of(areas: DataFrame, cells: DataFrame) -> DataFrame:
+    """The same from areas and confusion cells that are there already."""
+    return areas.select("model", "auc_roc").join(weighted_metrics(cells), "model")
 
 
 def model_comparison(scored: DataFrame, seconds: dict[str, float]) -> DataFrame:
@@ -237,22 +242,24 @@ def learning_curve(
     fractions: tuple[float, ...] = LADDER,
     make: Callable[[], Estimator] | None = None,
 ) -> DataFrame:
-    """(frac, n_rows, train_f1, val_f1, time_s) of an unweighted model on nested key-hash samples."""
+    """(frac, n_rows, train_f1, val_f1, time_s) of an unweighted model on nested key-hash samples.
+
+    Give it stored rows: they are read again for each fraction.
+    """
     spark = train.sparkSession
     make = make or (lambda: logistic_regression(label=label, weight_col=None, max_iter=50, standardization=True))
     rows = []
-    with cached(train), cached(val):
-        for frac in fractions:
-            start = time.perf_counter()
-            part = bernoulli_sample(train, key, frac)
-            model = make().fit(part)
-            both = score({"train": model}, part, key, label).unionByName(score({"val": model}, val, key, label))
-            cells = confusion(both)
-            total = sum((F.col(c) for c in ("fp", "fn", "tn")), F.col("tp"))
-            found = {
-                r["model"]: r
-                for r in weighted_metrics(cells.withColumn("n", total), ["model", "n"]).collect()
-            }
-            spent = time.perf_counter() - start
-            rows.append((frac, found["train"]["n"], found["train"]["f1"], found["val"]["f1"], spent))
+    for frac in fractions:
+        start = time.perf_counter()
+        part = bernoulli_sample(train, key, frac)
+        model = make().fit(part)
+        both = score({"train": model}, part, key, label).unionByName(score({"val": model}, val, key, label))
+        cells = confusion(both)
+        total = sum((F.col(c) for c in ("fp", "fn", "tn")), F.col("tp"))
+        found = {
+            r["model"]: r
+            for r in weighted_metrics(cells.withColumn("n", total), ["model", "n"]).collect()
+        }
+        spent = time.perf_counter() - start
+        rows.append((frac, found["train"]["n"], found["train"]["f1"], found["val"]["f1"], spent))
     return spark.createDataFrame(rows, "frac double, n_rows long, train_f1 double, val_f1 double, time_s double")

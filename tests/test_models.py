@@ -139,7 +139,8 @@ def test_grid_search_gives_one_row_per_fit_and_tuning_picks_the_best(ready):
 def test_learning_curve_and_baseline(ready):
     train, val = (ready[2].filter(F.col("split") == s).select("id", "label", "std_features") for s in ("train", "val"))
     curve = models.learning_curve(train, val, "id", fractions=(0.3, 1.0)).orderBy("frac").collect()
-    assert curve[1]["n_rows"] == train.count() and 0 < curve[0]["n_rows"] < curve[1]["n_rows"]
+    n = train.count()
+    assert curve[1]["n_rows"] == n and abs(curve[0]["n_rows"] - 0.3 * n) < 4 * (0.21 * n) ** 0.5
     assert all(0.5 < r["val_f1"] <= 1 and r["time_s"] > 0 for r in curve)
     baseline = models.small_sample_baseline(train, "id", fraction=0.3, max_iter=20)
     assert curve_areas(models.score(baseline.models, val, "id")).first()["auc_roc"] > 0.8
@@ -179,9 +180,42 @@ def test_all_four_stages_on_the_wide_layout(spark, tmp_path):
     trained = stages.train_models(
         spark, f"{out}/features", f"{out}/trained", "row_id", "Label", small, {"maxDepth": [2, 3]}, folds=2
     )
-    ranking = stages.evaluate(spark, f"{out}/features", f"{out}/results", "row_id", "Label", trained, replicates=50)
-    assert {r["model"] for r in ranking.collect()} == set(small)
-    for name in ("confusion", "class_report", "roc", "pr", "bootstrap_ci", "money_value", "performance"):
+    assert set(trained.models) == {*small, stages.BASELINE} == set(trained.seconds)
+    # evaluation from the files alone
+    ranking = stages.evaluate(
+        spark, f"{out}/features", f"{out}/results", "row_id", "Label", f"{out}/trained", replicates=50,
+        stability=models.boosted_trees(label="Label", iterations=2, depth=2), folds=2, fractions=(0.5, 1.0),
+    )
+    assert {r["model"] for r in ranking.collect()} == {*small, stages.BASELINE}
+    again = stages.evaluate(spark, f"{out}/features", f"{out}/again", "row_id", "Label", trained, replicates=50, fractions=())
+    assert sorted(again.collect()) == sorted(ranking.collect())
+    wanted = {
+        "confusion": 3, "class_report": 6, "bootstrap_ci": 3, "money_value": 3, "performance": 3, "column_summary": 56, "fold_stability": 2, "learning_curve": 2,
+    }
+    for name, n in wanted.items():
+        assert read_untyped_csv(spark, f"{out}/results/{name}").count() == n, name
+    for name in ("roc", "pr"):
         assert read_untyped_csv(spark, f"{out}/results/{name}").count() > 0
+    assert read_untyped_csv(spark, f"{out}/trained/importances/gbt").count() == 56
     assert read_untyped_csv(spark, f"{out}/trained/model_comparison").count() == 3
-    assert spark.read.json(f"{out}/results/final_ranking").count() == 2
+    assert spark.read.json(f"{out}/results/final_ranking").count() == 3
+    assert read_untyped_csv(spark, f"{out}/data/missing").count() == 80
+    classes = {r["Label"]: int(r["n"]) for r in read_untyped_csv(spark, f"{out}/data/classes").collect()}
+    assert sum(classes.values()) == 300 and set(classes) == {"0", "1"}
+    assert {r["passed"] for r in read_untyped_csv(spark, f"{out}/data/expectations").collect()} == {"true"}
+    assert int(read_untyped_csv(spark, f"{out}/data/files").first()["files"]) >= 2
+    assert spark.read.json(f"{out}/data/card").first()["total_rows"] == 300
+
+
+def test_scores_are_read_twice_in_evaluation(spark, ready, trained, tmp_path):
+    """Once for cells in strata and once for thresholds; every table comes from these."""
+    from tallyhawk.operators import bootstrap, curves, metrics
+
+    test = ready[2].filter("split = 'test'")
+    models.score(trained.models, test, "id").write.parquet(str(tmp_path / "scored"))
+    scored = spark.read.parquet(str(tmp_path / "scored"))
+    strata = bootstrap.stratum_counts(scored, "id")
+    assert sorted(bootstrap.stratum_cells(strata).collect()) == sorted(metrics.confusion(scored).collect())
+    counts = curves.threshold_counts(scored)
+    direct = sorted(models.performance(scored).collect())
+    assert sorted(models.performance_of(curves.areas_of(counts), bootstrap.stratum_cells(strata)).collect()) == direct
