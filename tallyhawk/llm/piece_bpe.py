@@ -1,9 +1,10 @@
 """Encoding and decoding for BPE models of the sentencepiece kind, by backtracking.
 
-A text falls apart before every word mark that follows something else, since no piece has a mark inside. Within such a
-chunk an Aho-Corasick automaton over reversed pieces finds the longest piece that starts at each place. Pieces are
-taken greedily; a neighbour is compatible if merging the two from single characters again gives just these two; a
-place from which nothing worked is marked in a bit field and not tried again. Chunks met before cost one lookup.
+A text falls apart before every word mark that follows something else, since no piece has a mark inside, and between letters and
+other characters if no piece joins them. Within such a chunk an Aho-Corasick automaton over reversed pieces finds the longest piece that starts at each
+place. Pieces are taken greedily; a neighbour is compatible if merging the two from single characters again gives just these two,
+which their last merges decide; a place from which nothing worked is marked in a bit field and not tried again. Chunks met before
+cost one lookup; of two generations of remembered chunks the older goes when the younger is full, so what recurs stays.
 
 Pieces of equal score (runs of the word mark) leave the pair rule undecided, so a chunk with two marks in a row is merged
 directly. Characters without a piece become byte pieces. Null texts count as empty; an empty text has the end id only.
@@ -12,6 +13,7 @@ directly. Characters without a piece become byte pieces. Null texts count as emp
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from heapq import heappop, heappush
 from itertools import chain, groupby, pairwise
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhawk.llm.words import as_texts, slices
 
 MARK = "▁"
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 300_000
 KEPT_PAIRS = 500_000
 LONG_RUN = 256
 NEVER = float("-inf")
@@ -57,6 +59,14 @@ class PieceBpe(dict):
         self.special = self.control | self.byte_of.keys()
         self.shorter = {p: self.next_shorter(p) for p in self.id_of}
         self.fits: dict[tuple[str, str], bool] = {}
+        self.older: dict[str, tuple[str, int, str]] = {}
+        # letters, and all else; numerals that are no digits (superscripts and the like) are no letters
+        numerals = "".join(re.escape(c) for c in sorted(self.known) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+        by_kind = re.compile(f"{MARK}*(?:[^\\W\\d_{numerals}]+|(?:[^\\w{MARK}]|[\\d_{numerals}])+)|{MARK}+")
+        self.by_kind = by_kind if all(by_kind.fullmatch(p) for p in self.id_of) else None
+        # the order in which merges are made, and the two pieces that the last merge of each joins
+        self.rank = {p: i for i, p in enumerate(sorted(self.id_of, key=self.score.get, reverse=True))}
+        self.halves = {p: found for p in self.id_of if len(p) > 1 and (found := self.last_merge(p))}
 
     def next_shorter(self, piece: str) -> str:
         """The longest piece that ``piece`` goes on from; empty if there is none."""
@@ -108,14 +118,58 @@ class PieceBpe(dict):
             offer(left, after[left])
         return [p for p in parts if p]
 
+    def last_merge(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that ``piece`` is made of last when its characters are merged; None if they don't come to it."""
+        whole = self.score[piece]
+        for n in range(1, len(piece)):
+            left, right = piece[:n], piece[n:]
+            if left in self.score and right in self.score and self.merge_below(piece, whole) == [left, right]:
+                return left, right
+        return None
+
+    def merge_below(self, text: str, end: float) -> list[str]:
+        """The parts of ``text`` when only two are left, or nothing merges any more."""
+        parts, score = list(text), self.score.get
+        while len(parts) > 2:
+            scores = [score(a + b, NEVER) for a, b in pairwise(parts)]
+            best = max(scores)
+            if best == NEVER:
+                break
+            at = scores.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
     def compatible(self, left: str, right: str) -> bool:
         found = self.fits.get((left, right))
         if found is None:
             if len(self.fits) >= KEPT_PAIRS:
                 self.fits.clear()
-            self.fits[left, right] = found = self.merge(left + right) == [left, right]
+            self.fits[left, right] = found = self.stay_apart(left, right)
         return found
 
+    def stay_apart(self, left: str, right: str) -> bool:
+        """Whether merging ``left + right`` from characters on gives just these two.
+
+        Merges are taken back from the later to the earlier, of the left piece at its right edge and of the right piece at its left edge. Two
+        parts that meet at the border are there together until the merge taken back last; they would have become one if theirs comes before.
+        Of equal merges the left one is made first.
+        """
+        rank, halves = self.rank, self.halves
+        if (len(left) > 1 and left not in halves) or (len(right) > 1 and right not in halves):
+            return False
+        limit = len(rank)
+        while True:
+            if rank.get(left + right, limit) < limit:
+                return False
+            a = rank[left] if len(left) > 1 else -1
+            b = rank[right] if len(right) > 1 else -1
+            if a > b:
+                limit, left = a, halves[left][1]
+            elif b >= 0:
+                limit, right = b + 1, halves[right][0]
+            else:
+                return True
+
     def split(self, text: str) -> list[str]:
         """Pieces of a run of known characters."""
         size = len(text)
@@ -187,21 +241,29 @@ class PieceBpe(dict):
         return "".join([*out, raw.decode("utf-8", "replace")]).replace(MARK, " ")
 
     def __missing__(self, chunk: str) -> tuple[str, int, str]:
-        if len(self) >= KEPT_CHUNKS:
-            self.clear()
-        ids = self.chunk_ids(chunk)
-        found = " ".join(map(str, ids)), len(ids), self.surface(ids)
+        found = self.older.get(chunk)
+        if found is None:
+            ids = self.chunk_ids(chunk)
+            # pieces of known characters spell the chunk
+            spelt = chunk.replace(MARK, " ") if self.special.isdisjoint(ids) else self.surface(ids)
+            found = " ".join(map(str, ids)), len(ids), spelt
         if len(chunk) < 64:
+            if len(self) >= KEPT_CHUNKS:
+                self.older = dict(self)
+                self.clear()
             self[chunk] = found
         return found
 
     def chunks(self, text: str) -> list[str]:
-        """``text`` with marks for spaces and one more in front, cut before each mark that follows something else."""
+        """``text`` with marks for spaces and one more in front, cut before each mark that follows something else and, if pieces allow it,
+        where letters and other characters meet."""
         if not text:
             return []
-        pieces = text.replace(" ", MARK).split(MARK)
+        text = text.replace(" ", MARK)
+        if self.by_kind:
+            return self.by_kind.findall(MARK + text)
         out, marks = [], 1
-        for piece in pieces:
+        for piece in text.split(MARK):
             if piece:
                 out.append(MARK * marks + piece)
                 marks = 1
@@ -243,10 +305,10 @@ def _mapped(docs: DataFrame, model_file: str, doc_id: str, text: str, digests: b
         for batch in chain.from_iterable(slices(b, "text") for b in batches):
             counts, ids, decoded = [], [], []
             for t in as_texts(batch.column(1)).to_pylist():
-                found = [bpe[c] for c in bpe.chunks(t)]
-                counts.append(sum(f[1] for f in found) + 1)
-                ids.append(shown(" ".join([*(f[0] for f in found), bpe.ends])))
-                decoded.append(shown("".join([f[2] for f in found]).removeprefix(" ")))
+                known, n, spelt = zip(*map(bpe.__getitem__, bpe.chunks(t))) if t else ((), (), ())
+                counts.append(sum(n) + 1)
+                ids.append(shown(" ".join([*known, bpe.ends])))
+                decoded.append(shown("".join(spelt).removeprefix(" ")))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)], [doc_id, *names])
 
     rows = docs.select(F.col(doc_id), F.col(text).alias("text"))
