@@ -4,6 +4,8 @@ A text is brought to a canonical form (lower case, copyright lines removed, punc
 spellings unified, white space collapsed), and its digest is joined with the digests of known licences. Everything runs as
 SQL functions; the registry is an ordinary table (``known_licenses``, or any frame with ``license_id`` and ``text``).
 
+The form doesn't depend on where lines are wrapped, unless refilling a paragraph joins a copyright line with other text.
+
 Null and empty texts, and texts that are empty once canonical, match nothing. If several licences of the registry have the
 same canonical form, the smallest ``license_id`` is given, so there is one result row per row. Extra columns are not read.
 """
@@ -76,16 +78,21 @@ KNOWN |= {
     for name, titles in TITLES.items() for i, title in enumerate(titles)
 }
 
-COPYRIGHT_LINE = r"(?m)^[ \t#*/;-]*(copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+# a whole line that begins with "copyright" and has a sign, a year or a place for one, or begins with a sign and has a year;
+# a sentence that a line break has put "copyright" or "(c)" at the head of is none
+COPYRIGHT_LINE = (
+    r"(?m)^[ \t#*/;-]*(?:copyright\b[^\n]*(?:\(c\)|©|[0-9]{4}|<year>|\[yyyy\])[^\n]*|(?:\(c\)|©)[^\n]*[0-9]{4}[^\n]*|all rights reserved\.?[ \t]*)$"
+)
 
 
 def canonical(text: Column) -> Column:
     form = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
-    form = F.regexp_replace(form, r"[^\p{L}\p{N}]+", " ")
-    form = F.concat(F.lit(" "), form, F.lit(" "))
+    # two spaces between words, so that each of two spellings side by side has its own on either side
+    form = F.regexp_replace(form, r"[^\p{L}\p{N}]+", "  ")
+    form = F.concat(F.lit("  "), form, F.lit("  "))
     for other, usual in EQUIVALENT:
-        form = F.replace(form, F.lit(f" {other} "), F.lit(f" {usual} "))
-    return F.trim(form)
+        form = F.replace(form, F.lit(f" {other} "), F.lit(f" {usual.replace(' ', '  ')} "))
+    return F.trim(F.regexp_replace(form, " +", " "))
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:

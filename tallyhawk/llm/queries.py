@@ -110,10 +110,10 @@ def _licenses_sql() -> str:
     """The canonical form once more, for the documents and the registry alike."""
     form = "lower(coalesce(text, ''))"
     form = f"regexp_replace({form}, '{licenses.COPYRIGHT_LINE}', ' ', 'g')"
-    form = f"' ' || regexp_replace({form}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' '"
+    form = f"'  ' || regexp_replace({form}, '[^\\p{{L}}\\p{{N}}]+', '  ', 'g') || '  '"
     for other, usual in licenses.EQUIVALENT:
-        form = f"replace({form}, ' {other} ', ' {usual} ')"
-    form = f"nullif(trim({form}), '')"
+        form = f"replace({form}, ' {other} ', ' {usual.replace(' ', '  ')} ')"
+    form = f"nullif(trim(regexp_replace({form}, ' +', ' ', 'g')), '')"
     known = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(licenses.KNOWN.items()))
     return f"""
     WITH known AS (
