@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhawk.llm.repetition import duplicate_lines, per_doc
 from tallyhawk.llm.words import as_texts, mix, slices, split_words
+from tallyhawk.operators.quantiles import exact_quantiles
 from tallyhawk.session import cut_lineage
 
 FEATURES = (
@@ -106,15 +107,15 @@ def train(
     docs: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text",
     most_rows: int = 20_000, rivals: int = 4, cut_score: float = 0.3,
 ) -> Ranking:
-    """Fit on rows with label 1 (good) or 0 (bad), about ``most_rows`` of them at most, drawn by hash of the id.
+    """Fit on rows with label 1 (good) or 0 (bad): weights on about ``most_rows`` of them at most, drawn by hash of the id, the cut and the share
+    of bad texts that names it on all of them.
 
     A good text meets ``rivals`` bad ones. With labels of one kind only, every weight is 0.
     """
-    rows = docs.filter(F.col(label).isin(0, 1))
-    total = rows.count()
+    every = cut_lineage(_featured(docs.filter(F.col(label).isin(0, 1)), [doc_id, label], text))
+    total, sample = every.count(), every
     if total > most_rows:
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(doc_id), F.lit("quality")), F.lit(1 << 30)) < int(most_rows / total * (1 << 30)))
-    sample = cut_lineage(_featured(rows, [doc_id, label], text))
+        sample = every.filter(F.pmod(F.xxhash64(F.col(doc_id), F.lit("quality")), F.lit(1 << 30)) < int(most_rows / total * (1 << 30)))
     counts = {r[label]: r["n"] for r in sample.groupBy(label).agg(F.count("*").alias("n")).collect()}
     good, bad = counts.get(1, 0), counts.get(0, 0)
     if not good or not bad:
@@ -135,10 +136,10 @@ def train(
         F.zip_with("features", F.array(*[F.lit(float(w)) for w in weights]), lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x
     )
     # the middle between the neighbours of the quantile that the share of bad texts names
-    share = bad / (good + bad)
-    low, high = max(0.0, share - 0.5 / (good + bad)), share
-    found = sample.select(strength.alias("s")).agg(F.percentile("s", F.array(F.lit(low), F.lit(high))).alias("q")).first()["q"]
-    return Ranking(weights, (found[0] + found[1]) / 2, cut_score)
+    share = every.filter(F.col(label) == 0).count() / total
+    scored = cut_lineage(every.select(strength.alias("s")))
+    found = [r["q"] for r in exact_quantiles(scored, ["s"], sorted({max(0.0, share - 0.5 / total), share})).orderBy("p").collect()]
+    return Ranking(weights, (found[0] + found[-1]) / 2, cut_score)
 
 
 def score(docs: DataFrame, ranking: Ranking, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
