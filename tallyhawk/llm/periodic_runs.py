@@ -331,7 +331,7 @@ def periodic_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
     A null text counts as empty and has no words; a null id is kept and never planted. Repeated rows and ids each give their own
     row; other columns are not read, so their names can't clash. An empty table gives an empty one. A text's whole
-    words are read in one task, some 200 bytes of memory a word in the parts that repeat closely and 60 elsewhere.
+    words are read in one task, with up to some 600 bytes of memory a word in the parts that repeat closely and 200 elsewhere.
     """
     types = DIGEST_TYPES | (FULL_TYPES if full else {})
     kinds = {"n_runs": "long", "start": "long", "length": "long", "period": "long", "exponent_milli": "long",
