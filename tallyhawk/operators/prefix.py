@@ -55,7 +55,7 @@ def quantile_bucket(df: DataFrame, order: str, counts: list[str], buckets: int |
         F.expr(f"percentile_approx(`{order}`, array({cuts}), {20 * each})").alias("_points")
     )
     points = F.array_sort(F.flatten(F.collect_list("_points")))
-    every = F.expr(f"transform(sequence(1, {buckets - 1}), i -> get(_all, cast(floor(i * size(_all) / {buckets}D) as int)))")
+    every = F.expr(f"transform(sequence(1, {buckets - 1}), i -> get(_all, cast(floor(cast(i as bigint) * size(_all) / {buckets}D) as int)))")
     bounds = sketches.agg(points.alias("_all")).select(every)
     placed = df.withColumn("_bounds", bounds.scalar()).withColumn("_at", F.lit(0))
     stride = buckets // RADIX
