@@ -112,7 +112,20 @@ def train(
 
     A good text meets ``rivals`` bad ones. With labels of one kind only, every weight is 0.
     """
-    every = cut_lineage(_featured(docs.filter(F.col(label).isin(0, 1)), [doc_id, label], text))
+    return train_featured(_featured(docs.filter(F.col(label).isin(0, 1)), [doc_id, label], text), label, doc_id, most_rows, rivals, cut_score)
+
+
+def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, ``features``) per row, stored: labels are then joined to a few numbers and not to texts, and one pass over the texts serves
+    fitting and scoring."""
+    return cut_lineage(_featured(docs, [doc_id], text))
+
+
+def train_featured(
+    rows: DataFrame, label: str = "quality", doc_id: str = "doc_id", most_rows: int = 20_000, rivals: int = 4, cut_score: float = 0.3
+) -> Ranking:
+    """The same from rows with an id, a label and ``features``."""
+    every = cut_lineage(rows.filter(F.col(label).isin(0, 1)).select(doc_id, label, "features"))
     total, sample = every.count(), every
     if total > most_rows:
         sample = every.filter(F.pmod(F.xxhash64(F.col(doc_id), F.lit("quality")), F.lit(1 << 30)) < int(most_rows / total * (1 << 30)))
@@ -154,3 +167,17 @@ def score(docs: DataFrame, ranking: Ranking, doc_id: str = "doc_id", text: str =
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"`{doc_id}` {kind}, score double, predicted int")
+
+
+def score_featured(rows: DataFrame, ranking: Ranking, doc_id: str = "doc_id") -> DataFrame:
+    """The same as ``score`` from ``featured`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            scores = ranking.scores(values)
+            predicted = pa.array((scores >= ranking.cut_score).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), predicted], [doc_id, "score", "predicted"])
+
+    kind = rows.schema[doc_id].dataType.simpleString()
+    return rows.select(doc_id, "features").mapInArrow(run, f"`{doc_id}` {kind}, score double, predicted int")

@@ -139,10 +139,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_quality_ranking")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    rows = quality_ranking.featured(documents(spark, sf_dir))
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    labelled = docs.select("doc_id", "text").join(labels.filter(~language_id.is_held_out("doc_id")), "doc_id")
-    scored = quality_ranking.score(docs, quality_ranking.train(labelled))
+    labelled = rows.join(labels.filter(~language_id.is_held_out("doc_id")), "doc_id")
+    scored = quality_ranking.score_featured(rows, quality_ranking.train_featured(labelled))
     return scored.select("doc_id", language_id.is_held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
