@@ -17,30 +17,39 @@ from pyspark.sql import DataFrame
 from tallyhawk.session import cut_lineage
 
 
-def _packed(counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], ["counts"])
+def _row(counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([packed(counts)], pa.binary())], ["counts"])
 
 
-def cell_counts(df: DataFrame, cells: int, to_cells: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> np.ndarray:
-    """How often each cell number below ``cells`` comes out of ``to_cells`` over all batches of ``df``."""
+def packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.tobytes(), 1)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, dtype=np.int64)
-        for batch in batches:
-            for found in to_cells(batch):
-                counts += np.bincount(found, minlength=cells)
-        if counts.any():
-            yield _packed(counts)
+
+def merged(parts: DataFrame, cells: int) -> np.ndarray:
+    """Sum of the packed counters in ``parts`` (counts), a stored table with one row per task."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cells, dtype=np.int64)
         for batch in batches:
-            for packed in batch.column(0):
-                counts += np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.int64)
+            for part in batch.column(0):
+                counts += np.frombuffer(zlib.decompress(part.as_py()), dtype=np.int64)
         if counts.any():
-            yield _packed(counts)
+            yield _row(counts)
 
-    parts = cut_lineage(df.mapInArrow(count, "counts binary"))
     few = max(1, math.isqrt(parts.count()))
     total = parts.repartition(few).mapInArrow(merge, "counts binary").coalesce(1).mapInArrow(merge, "counts binary").first()
     return np.frombuffer(zlib.decompress(total[0]), dtype=np.int64) if total else np.zeros(cells, dtype=np.int64)
+
+
+def cell_counts(df: DataFrame, cells: int, to_cells: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> np.ndarray:
+    """How often each cell number below ``cells`` comes out of ``to_cells`` over all batches of ``df``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(cells, dtype=np.int64)
+        for batch in batches:
+            for found in to_cells(batch):
+                counts += np.bincount(found, minlength=cells)
+        if counts.any():
+            yield _row(counts)
+
+    return merged(cut_lineage(df.mapInArrow(count, "counts binary")), cells)

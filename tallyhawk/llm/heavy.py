@@ -55,3 +55,20 @@ def attach(rows: DataFrame, facts: DataFrame, keys: list[str], counted: str, tot
     there = marked.filter("_frequent").drop("_frequent")
     rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(facts.filter(~frequent), keys, "left")
     return there.unionByName(rest)
+
+
+def attach_spread(
+    rows: DataFrame, facts: DataFrame, keys: list[str], counted: str, total: int, by: str, how: str = "left", counters: int = COUNTERS
+) -> DataFrame:
+    """Join of ``facts`` as in ``attach``, of any size each: of frequent keys only the keys are broadcast.
+
+    The rows of a frequent key are dealt by the hash of ``by`` over copies of its facts, one copy per total / counters rows, so
+    that all copies beyond the first are ``counters`` rows at most. Rows of one key that are equal in ``by`` too stay together.
+    """
+    most = max(1, total // counters)
+    copies = F.greatest(F.lit(1), F.ceil(F.col(counted) / most)).cast("int")
+    hot = facts.filter(F.col(counted) > most).select(*keys, copies.alias("_copies"))
+    copy = F.pmod(F.xxhash64(by), F.coalesce("_copies", F.lit(1))).cast("int")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("_copy", copy).drop("_copies")
+    spread = facts.withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return dealt.join(spread, [*keys, "_copy"], how).drop("_copy")

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhawk.llm.cells import cell_counts
+from tallyhawk.llm.cells import cell_counts, merged, packed
 from tallyhawk.llm.components import components
+from tallyhawk.llm.heavy import attach_spread
 from tallyhawk.llm.words import as_texts, mix, multipliers, slices, split_words
 from tallyhawk.session import cut_lineage
 
@@ -109,17 +110,26 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Re
         yield batch, shingle_sets(as_texts(batch.column(1)), width)
 
 
-def _keys(docs: DataFrame, width: int) -> DataFrame:
-    """(doc, n, key): size of the set and a 128-bit digest of it; key is null for the empty set."""
+def _keys(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc, n, key): size of the set and a 128-bit digest of it; key is null for the empty set. With the sketch, of the same pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = np.uint64(0x5851F42D4C957F2D)
+        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch, sets in _sets(batches, width):
             keys = [s.sum(dtype=np.uint64).tobytes() + mix(s ^ other).sum(dtype=np.uint64).tobytes() if len(s) else None for s in sets]
             sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(keys, pa.binary())], ["doc", "n", "key"])
+            counts += np.bincount(_cell(np.concatenate(sets)), minlength=1 << SKETCH_BITS) if sets else 0
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(keys, pa.binary()), pa.nulls(len(keys), pa.binary())], names)
+        if counts.any():
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([packed(counts)], pa.binary())], names)
 
-    return cut_lineage(docs.mapInArrow(run, "doc long, n long, key binary"))
+    names = ["doc", "n", "key", "counts"]
+    stored = cut_lineage(docs.mapInArrow(run, "doc long, n long, key binary, counts binary"))
+    # a document's row has its size, a task's row its counters
+    sketch = merged(stored.filter("n IS NULL").select("counts"), 1 << SKETCH_BITS)
+    return stored.filter("n IS NOT NULL").select("doc", "n", "key"), sketch
 
 
 def _prefixes(docs: DataFrame, width: int, levels: np.ndarray, pct: int) -> DataFrame:
@@ -156,7 +166,7 @@ def star_pairs(rows: DataFrame, pct: int) -> DataFrame:
     """
     best = F.min(F.struct("unshared", "doc", "n", "suffix"))
     pivots = rows.groupBy("token").agg(best.alias("p"), F.count("*").alias("df"))
-    met = rows.join(pivots, "token").select(F.struct("doc", "n", "suffix").alias("x"), F.struct("p.doc", "p.n", "p.suffix").alias("y"), "df")
+    met = attach_spread(rows, pivots, ["token"], "df", rows.count(), "doc", "inner").select(F.struct("doc", "n", "suffix").alias("x"), F.struct("p.doc", "p.n", "p.suffix").alias("y"), "df")
     names = ("doc", "n", "suffix")
     x, y = _side("x", names), _side("y", names)
     counted = met.filter((x["doc"] != y["doc"]) & _sizes_fit(x, y, pct)).groupBy("x", "y").agg(F.count("*").alias("common"), F.max("df").alias("df"))
@@ -321,14 +331,10 @@ def differences(pairs: DataFrame, docs: DataFrame, width: int, pct: int, levels:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, pct: int = 80) -> DataFrame:
     """Per row: the id, ``n_shingles``, ``class_id`` (smallest id with an equal set) and ``component_id``."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    keys = _keys(texts, width)
+    keys, sketch = _keys(texts, width)
     classes = keys.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc").alias("rep"))
 
-    def cells(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, sets in _sets([batch], width):
-            yield _cell(np.concatenate(sets))
-
-    levels = frequency_levels(cell_counts(texts, 1 << SKETCH_BITS, cells))
+    levels = frequency_levels(sketch)
     reps = classes.select(F.col("rep").alias("doc"))
     prefixes = cut_lineage(_prefixes(texts, width, levels, pct).join(reps, "doc", "left_semi").dropDuplicates(["doc"]))
     sizes = prefixes.select("doc", "n", "suffix")

@@ -191,7 +191,7 @@ def _secrets_sql() -> str:
 
 @query("op9_secret_scan", _secrets_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(documents(spark, sf_dir), scratch_path(spark, "ledger"))
+    found = secrets.scan(documents(spark, sf_dir), scratch_path(spark, "ledger"), appends=2)
     return found.select(
         "doc_id",
         *[secrets.count_kind("spans", k).alias(f"n_{k}") for k in secrets.BASE_KINDS],

@@ -5,8 +5,11 @@ rules are scanned, each once however many paths hold it; findings are added to t
 The ledger is a Parquet table in shared storage; a path not yet written is an empty ledger. A run that dies before its
 append leaves the ledger as it was, so the next one scans these blobs again.
 
-Null texts count as empty and have no findings. Repeated rows get a result each, also with equal ids. Extra columns are
-not read by ``scan``; ``redact`` carries them.
+A blob that very many paths hold is joined to them by copies of its findings, so no task has all of its paths.
+
+Null texts count as empty and have no findings. Repeated rows get a result each, also with equal or null ids. Extra columns are
+not read by ``scan``; ``redact`` carries them, under any names but those that begin with an underscore. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhawk.llm.exact_dedup import digest, mark_copies
+from tallyhawk.llm.heavy import attach_spread
 from tallyhawk.llm.words import as_texts, slices
 from tallyhawk.session import cut_lineage, scratch_path
 
@@ -73,21 +77,34 @@ def read_ledger(spark, path: str) -> DataFrame:
         return spark.createDataFrame([], f"blob string, rules string, spans {SPANS}")
 
 
-def scan(versions: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Scan unseen blobs into ``ledger``; one row per row of ``versions``: the id, ``blob`` and ``spans``."""
+def append(versions: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Scan the blobs that ``ledger`` has not seen and add them to it; per row the id, ``blob``, ``kept`` and ``group_size``."""
     spark = versions.sparkSession
     paths = cut_lineage(mark_copies(versions, doc_id, text).withColumnRenamed("text_sha256", "blob"))
     seen = read_ledger(spark, ledger).filter(F.col("rules") == RULES).select("blob")
-    unseen = paths.filter("kept").select(doc_id, "blob").join(seen, "blob", "left_anti")
+    unseen = paths.filter("kept").select(F.col(doc_id).alias("id"), "blob").join(seen, "blob", "left_anti")
     # one version stands for each blob; equal ids with other texts are told apart by the blob
-    texts = versions.select(F.col(doc_id), F.col(text).alias("text"))
-    first = texts.join(unseen, texts[doc_id].eqNullSafe(unseen[doc_id])).filter(F.lower(F.hex(digest("text"))) == F.col("blob"))
+    texts = versions.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.lower(F.hex(digest(text))).alias("blob"))
+    first = texts.join(unseen, (texts["blob"] == unseen["blob"]) & texts["id"].eqNullSafe(unseen["id"]), "left_semi")
     scanned = first.select("blob", "text").mapInArrow(_scan_batches, f"blob string, spans {SPANS}")
     scanned.withColumn("rules", F.lit(RULES)).write.mode("append").parquet(ledger)
-    findings = read_ledger(spark, ledger).filter((F.col("rules") == RULES) & (F.size("spans") > 0))
-    findings = findings.dropDuplicates(["blob"]).select("blob", "spans")
-    joined = paths.select(doc_id, "blob").join(findings, "blob", "left")
-    return joined.withColumn("spans", F.coalesce("spans", F.array().cast(SPANS)))
+    return paths.select(doc_id, "blob", "kept", "group_size")
+
+
+def scan(versions: DataFrame, ledger: str, doc_id: str = "doc_id", text: str = "text", appends: int = 1) -> DataFrame:
+    """Scan unseen blobs into ``ledger``; one row per row of ``versions``: the id, ``blob`` and ``spans``.
+
+    With several ``appends`` the versions arrive in so many parts by the hash of their ids, each meeting the ledger of those before.
+    """
+    part = F.pmod(F.xxhash64(doc_id), F.lit(appends))
+    paths = append(versions.filter(part == 0) if appends > 1 else versions, ledger, doc_id, text)
+    for k in range(1, appends):
+        paths = paths.unionByName(append(versions.filter(part == k), ledger, doc_id, text))
+    findings = read_ledger(versions.sparkSession, ledger).filter((F.col("rules") == RULES) & (F.size("spans") > 0))
+    copied = paths.filter("kept AND group_size > 1").groupBy("blob").agg(F.sum("group_size").alias("paths"))
+    findings = findings.dropDuplicates(["blob"]).select("blob", "spans").join(copied, "blob", "left").fillna(1, ["paths"])
+    joined = attach_spread(paths.select(doc_id, "blob"), findings, ["blob"], "paths", paths.count(), doc_id)
+    return joined.select(doc_id, "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 def span_text(spans: str, base_only: bool) -> F.Column:
@@ -131,9 +148,10 @@ def redact(docs: DataFrame, ledger: str | None = None, doc_id: str = "doc_id", t
     """
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     found = scan(docs, ledger, doc_id, text).filter(F.size("spans") > 0)
-    found = found.groupBy(F.col("blob").alias("_blob")).agg(F.first("spans").alias("_spans"))
+    found = found.groupBy(F.col("blob").alias("_blob")).agg(F.first("spans").alias("_spans"), F.count("*").alias("_paths"))
     # findings are joined by content, to rows that have any only
-    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text)))).join(found, "_blob", "left").withColumn("_spans", _whole_keys("_spans", text))
+    tagged = docs.withColumn("_blob", F.lower(F.hex(digest(text))))
+    tagged = attach_spread(tagged, found, ["_blob"], "_paths", docs.count(), doc_id).withColumn("_spans", _whole_keys("_spans", text))
     last = lambda done: done["at"]
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda done, s: F.when(

@@ -17,20 +17,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhawk.functions.hashing import key_hash
 from tallyhawk.llm.exact_dedup import digest
+from tallyhawk.llm.heavy import attach_spread
 from tallyhawk.operators.prefix import BUCKET, hash_prefix_bucket, rank_by_hash, running_totals
 from tallyhawk.session import cut_lineage
 
 ADMISSION_BITS = 16
 
 
-def _votes(members: DataFrame, placed: DataFrame, shards: int, closed: set[int]) -> DataFrame:
+def _votes(members: DataFrame, placed: DataFrame, shards: int, closed: set[int], total: int) -> DataFrame:
     """Per row the shard, its own or one not ``closed``, that most of its neighbours and itself are in.
 
     Ties fall the same way for a whole group.
     """
     at = members.join(placed, "row")
-    tally = at.groupBy("group").agg(F.array(*[F.count_if(F.col("shard") == s) for s in range(shards)]).alias("tally"))
-    heard = at.join(tally, "group")
+    counts = F.array(*[F.count_if(F.col("shard") == s) for s in range(shards)])
+    tally = at.groupBy("group").agg(counts.alias("tally"), F.count("*").alias("_size"))
+    heard = attach_spread(at, tally, ["group"], "_size", total, "row", "inner")
     sums = heard.groupBy("row", "shard").agg(
         F.array(*[F.sum(F.col("tally")[s]) for s in range(shards)]).alias("votes"), F.min("group").alias("_tie")
     )
@@ -114,12 +116,12 @@ def propagate(members: DataFrame, quotas: list[int], rounds: int | None = None)
 
     ``rounds`` bounds the rounds; without it every round cuts fewer links or closes another shard.
     """
-    shards = len(quotas)
+    shards, total = len(quotas), members.count()
     placed = _start(members, quotas)
     uncut, closed, done = _uncut(members, placed), set(), 0
     while rounds is None or done < rounds:
         done += 1
-        votes = cut_lineage(_votes(members, placed, shards, closed))
+        votes = cut_lineage(_votes(members, placed, shards, closed, total))
         load = {r["shard"]: r["n"] for r in votes.groupBy("shard").agg(F.count("*").alias("n")).collect()}
         moved, n_moved, refused = _admitted(votes, [q - load.get(s, 0) for s, q in enumerate(quotas)])
         if n_moved:
@@ -162,7 +164,8 @@ def balanced_shards(docs: DataFrame, shards: int = 16, rounds: int | None = None
         digest(text).alias("group"),
     )
     rows = cut_lineage(rows)
-    quotas = _quota(rows.count(), shards)
-    linked = rows.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
-    members = cut_lineage(rows.select("row", "group").join(linked, "group"))
+    total = rows.count()
+    quotas = _quota(total, shards)
+    linked = rows.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1")
+    members = cut_lineage(attach_spread(rows.select("row", "group"), linked, ["group"], "n", total, "row", "inner").drop("n"))
     return fill(rows.drop("group"), propagate(members, quotas, rounds), quotas).drop("row")
