@@ -1,7 +1,9 @@
 """From raw documents to packed sequences in five stages, each on all that the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and gives a frame that is written as Parquet and read again as the next one's
-``docs``. All but the last return the columns of ``documents``. An empty table goes through every stage.
+``docs``. All but the last return the columns of ``documents``. An empty table goes through every stage. Null and empty texts are
+rejected with the language stage. Ids may be null or repeat with other texts: no stage takes two texts for one. Extra columns
+are carried under any names but those that begin with an underscore.
 """
 
 from __future__ import annotations
@@ -26,10 +28,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays; documents without words all stay."""
-    found = near_duplicates.near_duplicates(docs)
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates the document with the smallest doc_id stays; documents without words all stay.
+
+    Where ids are null or repeat, rows are numbered by id (null last), then text, and written before.
+    """
+    if docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
+        numbered = docs.withColumn("_row", F.col("doc_id").cast("long"))
+    else:
+        ordered = docs.orderBy(F.asc_nulls_last("doc_id"), exact_dedup.digest("text"))
+        numbered = cut_lineage(ordered.withColumn("_row", F.monotonically_increasing_id()))
+    found = near_duplicates.near_duplicates(numbered, "_row")
+    dropped = found.filter(F.col("_row") != F.col("component_id")).select("_row")
+    return numbered.join(dropped, "_row", "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
