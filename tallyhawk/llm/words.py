@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2_000_000
+BLOCK_BYTES = 4_000_000
 
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -41,6 +42,14 @@ def multipliers(n: int) -> np.ndarray:
     return _multipliers[:n]
 
 
+def lookup(table: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``table[data]`` for bytes, in blocks, as numpy widens an index to eight bytes."""
+    found = np.empty(len(data), dtype=table.dtype)
+    for low in range(0, len(data), BLOCK_BYTES):
+        found[low : low + BLOCK_BYTES] = table[data[low : low + BLOCK_BYTES]]
+    return found
+
+
 @dataclass
 class Words:
     """Words of a batch of texts: byte positions in ``data``, and ``first[d]:first[d + 1]`` are those of text ``d``."""
@@ -53,15 +62,23 @@ class Words:
     first: np.ndarray
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        """One 64-bit hash per word; ``lower`` folds A-Z first."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        length = self.end - self.start
-        low, high = int(self.start[0]), int(self.end[-1])
+        """One 64-bit hash per word; ``lower`` folds A-Z first. Words are taken in blocks of bytes, a word never parted."""
+        found = np.empty(len(self.start), dtype=np.uint64)
+        at = 0
+        while at < len(found):
+            to = max(at + 1, int(np.searchsorted(self.end, self.start[at] + BLOCK_BYTES, side="right")))
+            found[at:to] = self._hashes(at, to, lower)
+            at = to
+        return found
+
+    def _hashes(self, at: int, to: int, lower: bool) -> np.ndarray:
+        start, end = self.start[at:to], self.end[at:to]
+        length = end - start
+        low, high = int(start[0]), int(end[-1])
         data = self.data[low:high]
         values = (_LOWER[data] if lower else data).astype(np.uint64)
         values += np.uint64(1)
-        begin = self.start - low
+        begin = start - low
         span = np.diff(begin, append=high - low)
         place = np.arange(high - low, dtype=np.int64)
         place -= np.repeat(begin, span)
@@ -103,7 +120,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
 def split_words(texts: pa.Array) -> Words:
     """Words of every text of ``as_texts``'s result."""
     data, offsets = buffers(texts)
-    inside = ~_IS_SPACE[data]
+    inside = ~lookup(_IS_SPACE, data)
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     ends[:-1] &= ~inside[1:]

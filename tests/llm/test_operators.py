@@ -5,12 +5,16 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyhawk.llm import (
     components, exact_dedup, heavy, language_id, licenses, near_duplicates, packing, piece_bpe, quality_ranking, repetition, secrets, sharding,
+    words,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string, kept string, row string, blob string"
@@ -216,6 +220,60 @@ def test_repetition_equals_brute_force(spark):
         assert r.base_failed == (len(words) < 20 or 100 * spans(8) > 30 * len(words)) and not (r.kept and r.base_failed)
 
 
+def sorted_suffix_repeats(words):
+    """Like brute_repeats, from neighbours of the sorted suffixes."""
+    order = sorted(range(len(words)), key=lambda i: words[i:])
+    best = [0] * len(words)
+    for i, j in zip(order, order[1:]):
+        k = 0
+        while max(i, j) + k < len(words) and words[i + k] == words[j + k]:
+            k += 1
+        best[i], best[j] = max(best[i], k), max(best[j], k)
+    return best
+
+
+def test_repeats_of_regular_and_random_sequences():
+    draw = random.Random(12)
+    fibonacci = ["a", "ab"]
+    while len(fibonacci[-1]) < 900:
+        fibonacci.append(fibonacci[-1] + fibonacci[-2])
+    morse = [bin(i).count("1") % 2 for i in range(1024)]
+    plain = [draw.randrange(k) for k in (2, 3, 50) for _ in range(500)]
+    for sequence in ([7], [7, 7], [1, 2, 1], [5] * 600, list(map(ord, fibonacci[-1])), morse, plain, plain[:400] + [99] + plain[:400]):
+        symbols = np.array(sequence, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        assert repetition.repeat_lengths(symbols).tolist() == sorted_suffix_repeats(sequence)
+
+
+@pytest.mark.parametrize("text", ["ha " * 300_000, " ".join(f"w{i * i % 99_991}" for i in range(300_000))])
+def test_repetition_of_a_very_long_text_in_bounded_memory(text):
+    texts = pa.array([text], pa.large_string())
+    n = 300_000
+    tracemalloc.start()
+    found = repetition.measure(texts, 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["n_words"].tolist() == [n]
+    assert peak < 130 * n + 36 * min(len(text), words.BLOCK_BYTES)
+    if text.startswith("ha"):
+        assert found["longest_repeat"].tolist() == [n - 1] and found["covered_words"].tolist() == [n]
+
+
+def test_word_hashes_do_not_depend_on_blocks(monkeypatch):
+    texts = pa.array([t or "" for t in TEXTS], pa.large_string())
+    whole = words.split_words(texts).hashes(lower=True)
+    monkeypatch.setattr(words, "BLOCK_BYTES", 7)
+    in_blocks = words.split_words(texts)
+    assert in_blocks.hashes(lower=True).tolist() == whole.tolist()
+    assert len(whole) == sum(len(WORD.findall(t or "")) for t in TEXTS)
+
+
+def test_repetition_of_null_and_repeated_ids(spark):
+    text = prose(3, 30)
+    rows = spark.createDataFrame([(None, text, "a"), (1, text, "b"), (1, None, "c"), (1, text, "d")], "doc_id long, text string, kept string")
+    found = repetition.repetition_rules(rows).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.base_failed) for r in found) == [(0, 30, False), (1, 0, True), (1, 30, False), (1, 30, False)]
+
+
 def test_licenses_match_entire_texts_only(spark):
     mit = "Copyright (c) 2020 Someone\n\n" + licenses.KNOWN["MIT"].replace("merge", "MERGE").replace(",", " ,")
     texts = [mit, licenses.KNOWN["MIT"] + " more", None, "", "...", "released under the MIT licence"]
