@@ -20,7 +20,7 @@ from tallyhawk.operators.curves import curve_areas
 from tallyhawk.operators.metrics import confusion, weighted_metrics
 from tallyhawk.operators.preprocessing import feature_registry
 from tallyhawk.operators.sampling import LADDER, bernoulli_sample, class_weights, stratified_sample
-from tallyhawk.session import cached, ensure_checkpoint_dir
+from tallyhawk.session import cached, cut_lineage, ensure_checkpoint_dir
 
 
 def logistic_regression(
@@ -48,12 +48,15 @@ def random_forest(
     bins: int = 32,
     subsample: float = 0.8,
     seed: int = 42,
+    cache_node_ids: bool = True,
     **params,
 ) -> RandomForestClassifier:
+    """``cache_node_ids`` keeps where each row stands in each tree from level to level, where else every pass over the rows
+    descends all trees from their roots; the trees are the same. It wants a checkpoint directory, see ``ensure_checkpoint_dir``."""
     weights = {"weightCol": weight_col} if weight_col else {}
     return RandomForestClassifier(
         featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth, maxBins=bins,
-        subsamplingRate=subsample, featureSubsetStrategy="sqrt", seed=seed, **weights, **params,
+        subsamplingRate=subsample, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=cache_node_ids, **weights, **params,
     )
 
 
@@ -178,29 +181,30 @@ def grid_search(
 ) -> DataFrame:
     """(params..., fold, auc): every grid cell fitted on all folds but one and scored on that one.
 
-    ``folded`` carries an integer fold column and is cached throughout; an empty grid gives one row per
-    fold. Fits run ``parallelism`` at a time. The result is one row per fit.
+    ``folded`` carries an integer fold column and is stored first: a fit is hundreds of jobs, and no task of theirs
+    then carries how folds are found. An empty grid gives one row per fold. Fits run ``parallelism`` at a time, each begun
+    as another ends. The result is one row per fit.
     """
     spark = folded.sparkSession
     ensure_checkpoint_dir(spark)
     names = list(grid)
     cells = [dict(zip(names, values)) for values in product(*grid.values())]
-    with cached(folded) as every:
-        folds = [row[0] for row in every.select(fold).distinct().orderBy(fold).collect()]
-
-        def run(task: tuple[int, dict]) -> tuple:
-            held_out, cell = task
-            train, test = every.filter(F.col(fold) != held_out), every.filter(F.col(fold) == held_out)
-            model = estimator.copy({estimator.getParam(n): v for n, v in cell.items()}).fit(train)
-            auc = curve_areas(score({"cell": model}, test, key, label)).first()
-            return (*cell.values(), held_out, auc["auc_roc"] if auc else None)
-
-        tasks = list(product(folds, cells))
-        pool = ThreadPool(min(parallelism, len(tasks)))
-        try:
-            rows = pool.map(inheritable_thread_target(spark)(run), tasks)
-        finally:
-            pool.close()
+    every = cut_lineage(folded)
+    folds = [row[0] for row in every.select(fold).distinct().orderBy(fold).collect()]
+
+    def run(task: tuple[int, dict]) -> tuple:
+        held_out, cell = task
+        train, test = every.filter(F.col(fold) != held_out), every.filter(F.col(fold) == held_out)
+        model = estimator.copy({estimator.getParam(n): v for n, v in cell.items()}).fit(train)
+        auc = curve_areas(score({"cell": model}, test, key, label)).first()
+        return (*cell.values(), held_out, auc["auc_roc"] if auc else None)
+
+    tasks = list(product(folds, cells))
+    pool = ThreadPool(min(parallelism, len(tasks)))
+    try:
+        rows = pool.map(inheritable_thread_target(spark)(run), tasks, chunksize=1)
+    finally:
+        pool.close()
     kinds = {int: "int", float: "double", str: "string", bool: "boolean"}
     typed = [f"`{n}` {kinds[type(grid[n][0])]}" for n in names]
     return spark.createDataFrame(rows, ", ".join([*typed, "fold int", "auc double"]))

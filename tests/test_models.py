@@ -219,3 +219,56 @@ def test_scores_are_read_twice_in_evaluation(spark, ready, trained, tmp_path):
     counts = curves.threshold_counts(scored)
     direct = sorted(models.performance(scored).collect())
     assert sorted(models.performance_of(curves.areas_of(counts), bootstrap.stratum_cells(strata)).collect()) == direct
+
+
+class Recorder:
+    """Stands in for an estimator: keeps the plans of the rows it is given."""
+
+    def __init__(self, inner, plans):
+        self.inner, self.plans = inner, plans
+
+    def copy(self, extra):
+        return Recorder(self.inner.copy(extra), self.plans)
+
+    def fit(self, rows):
+        self.plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return self.inner.fit(rows)
+
+
+def test_grid_search_fits_on_stored_rows(ready):
+    train = ready[2].filter("split = 'train'").select("id", "label", "std_features", "class_weight")
+    plans = []
+    models.grid_search(Recorder(models.logistic_regression(max_iter=2), plans), {}, sampling.stratified_folds(train, "id", "label", 2), "id")
+    assert len(plans) == 2
+    assert all("FileScan parquet" in p and "Window" not in p and "InMemoryTableScan" not in p for p in plans)
+
+
+def test_a_forest_keeps_places_and_grows_the_same_trees(ready):
+    train = ready[2].filter("split = 'train'")
+    plain, kept = (models.random_forest(trees=6, depth=6, **extra) for extra in ({"cache_node_ids": False}, {}))
+    assert kept.getCacheNodeIds() and not plain.getCacheNodeIds()
+    assert models.fit_all(train, {"m": plain}).models["m"].toDebugString.split("\n", 1)[1] == (
+        models.fit_all(train, {"m": kept}).models["m"].toDebugString.split("\n", 1)[1]
+    )
+
+
+def test_queries_fit_the_models_they_name_only(spark, small, monkeypatch):
+    from tallyhawk.plans import queries_models
+
+    fitted = []
+    quick = {
+        "Logistic Regression": models.logistic_regression(max_iter=2), "Random Forest": models.random_forest(trees=2, depth=2),
+        "GBT": models.boosted_trees(iterations=2, depth=2), "Linear SVC": models.linear_svc(max_iter=2),
+    }
+    fit_all = models.fit_all
+    monkeypatch.setattr(queries_models, "_TRAINED", {})
+    monkeypatch.setattr(queries_models, "_STORED", {})
+    monkeypatch.setattr(queries_models, "estimators", lambda: quick)
+    monkeypatch.setattr(models, "fit_all", lambda rows, made, **more: fitted.append(list(made)) or fit_all(rows, made, **more))
+    assert queries_models.l1_iterations(spark, small).first()["iterations"] <= 2
+    assert fitted == [["Logistic Regression"]]
+    assert queries_models.j2(spark, small).filter("differs").count() == 0
+    assert fitted == [["Logistic Regression"], ["GBT"]]
+    assert queries_models.t5(spark, small).first()["misplaced"] == 0
+    assert {r["model"] for r in queries_models.l8(spark, small).select("model").distinct().collect()} == set(quick)
+    assert fitted == [["Logistic Regression"], ["GBT"], ["Random Forest"], ["Linear SVC"]]
