@@ -37,7 +37,7 @@ class Prepared:
 
 _PREPARED: dict[tuple[str, str], Prepared] = {}
 _TRAINED: dict[tuple[str, str], models.Trained] = {}
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple[str, ...], str] = {}
 LOGISTIC, FOREST, BOOSTED, SVC = "Logistic Regression", "Random Forest", "GBT", "Linear SVC"
 
 
@@ -45,7 +45,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     """Fitted preprocessing and stored, vectorised splits; built once per application and data folder."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _PREPARED:
-        parts = labelled_splits(spark, sf_dir)
+        parts = cut_lineage(labelled_splits(spark, sf_dir))
         train = split_frame(parts, "train")
         fitted = preprocessing.fit_preprocessing(train, PLAN, COMPONENTS)
         ready = sampling.class_weights(fitted.transform(parts), counted=train)
@@ -64,27 +64,32 @@ def estimators() -> dict:
     }
 
 
-def trained(spark: SparkSession, sf_dir: str) -> models.Trained:
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _TRAINED:
-        _TRAINED[at] = models.fit_all(prepared(spark, sf_dir).part("train"), estimators())
-    return _TRAINED[at]
+def trained(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> models.Trained:
+    """The named models, or all four. Each is fitted when it is first asked for, once per application and data folder."""
+    known = _TRAINED.setdefault((spark.sparkContext.applicationId, sf_dir), models.Trained())
+    every = estimators()
+    wanted = [n for n in every if names is None or n in names]
+    absent = {n: every[n] for n in wanted if n not in known.models}
+    if absent:
+        found = models.fit_all(prepared(spark, sf_dir).part("train"), absent)
+        known.models |= found.models
+        known.seconds |= found.seconds
+    return models.Trained({n: known.models[n] for n in wanted}, {n: known.seconds[n] for n in wanted})
 
 
-def stored_models(spark: SparkSession, sf_dir: str) -> str:
-    """The folder that the fitted models are saved in, with their index."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+def stored_models(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> str:
+    """The folder that the named models, or all four, are saved in, with their index."""
+    found = trained(spark, sf_dir, names)
+    at = (spark.sparkContext.applicationId, sf_dir, *found.models)
     if at not in _STORED:
-        found = trained(spark, sf_dir)
-        _STORED[at] = scratch_path(spark, "models")
-        writers.save_models(spark, found.models, found.seconds, _STORED[at])
+        path = scratch_path(spark, "models")
+        writers.save_models(spark, found.models, found.seconds, path)
+        _STORED[at] = path
     return _STORED[at]
 
 
 def scored_test(spark: SparkSession, sf_dir: str, names: list[str] | None = None, part: str = "test") -> DataFrame:
-    everything = trained(spark, sf_dir).models
-    chosen = {n: everything[n] for n in names or everything}
-    return models.score(chosen, prepared(spark, sf_dir).part(part), KEY)
+    return models.score(trained(spark, sf_dir, names).models, prepared(spark, sf_dir).part(part), KEY)
 
 
 @query("f2_assembled_width", f"SELECT {len(PLAN.names)}::INT AS min_width, {len(PLAN.names)}::INT AS max_width FROM (SELECT COUNT(*) FROM events)")
@@ -222,7 +227,7 @@ def _agreement(name: str, rows: DataFrame, again) -> DataFrame:
 
 def linear_agreement(spark, sf_dir, name: str, part: DataFrame) -> DataFrame:
     """Scores of a fitted linear model against its coefficients."""
-    model = trained(spark, sf_dir).models[name]
+    model = trained(spark, sf_dir, [name]).models[name]
     recompute = linear.margin if name == SVC else linear.logistic_score
     again = recompute(F.col("x"), list(model.coefficients.toArray()), model.intercept)
     rows = models.score({name: model}, part, KEY).join(part.select(KEY, vector_to_array("std_features").alias("x")), KEY)
@@ -231,10 +236,10 @@ def linear_agreement(spark, sf_dir, name: str, part: DataFrame) -> DataFrame:
 
 def tree_agreement(spark, sf_dir, name: str, part: DataFrame) -> DataFrame:
     """Scores of a fitted ensemble against a descent over its stored nodes."""
-    path = f"{stored_models(spark, sf_dir)}/{name.lower().replace(' ', '_')}"
+    path = f"{stored_models(spark, sf_dir, [name])}/{name.lower().replace(' ', '_')}"
     nodes = trees.stored_nodes(spark, path)
     found = trees.ensemble_scores(part, nodes, KEY, trees.stored_depth(spark, path), boosted=name == BOOSTED)
-    rows = models.score({name: trained(spark, sf_dir).models[name]}, part, KEY)
+    rows = models.score(trained(spark, sf_dir, [name]).models, part, KEY)
     return _agreement(name, rows.join(found.withColumnRenamed("score", "again"), KEY, "left"), F.col("again"))
 
 
@@ -251,7 +256,7 @@ def _linear_sql(name: str) -> str:
 @query("l1_logistic_regression", _linear_sql(LOGISTIC))
 def l1(spark, sf_dir):
     """All rows score as the coefficients say, and at these the gradient of the training loss is a thousandth of that at zero or less."""
-    ready, model = prepared(spark, sf_dir), trained(spark, sf_dir).models[LOGISTIC]
+    ready, model = prepared(spark, sf_dir), trained(spark, sf_dir, [LOGISTIC]).models[LOGISTIC]
     found = linear.logistic_gradient(ready.part("train"), list(model.coefficients.toArray()), model.intercept, model.getRegParam())
     optimal = found.select(F.col("gradient") <= 1e-3 * F.col("at_zero")).scalar()
     return linear_agreement(spark, sf_dir, LOGISTIC, ready.splits).withColumn("optimal", optimal)
@@ -260,7 +265,7 @@ def l1(spark, sf_dir):
 @query("l4_linear_svc", _linear_sql(SVC))
 def l4(spark, sf_dir):
     """The same for the hinge loss. Its solver ends after 100 iterations on a loss with kinks, so the bound is a fiftieth."""
-    ready, model = prepared(spark, sf_dir), trained(spark, sf_dir).models[SVC]
+    ready, model = prepared(spark, sf_dir), trained(spark, sf_dir, [SVC]).models[SVC]
     found = linear.hinge_gradient(ready.part("train"), list(model.coefficients.toArray()), model.intercept, model.getRegParam())
     optimal = found.select(F.col("gradient") <= 0.02 * F.col("at_zero")).scalar()
     return linear_agreement(spark, sf_dir, SVC, ready.splits).withColumn("optimal", optimal)
@@ -286,7 +291,7 @@ def e10_fitted(spark, sf_dir):
 
 @query("l1_iterations")
 def l1_iterations(spark, sf_dir):
-    model = trained(spark, sf_dir).models["Logistic Regression"]
+    model = trained(spark, sf_dir, [LOGISTIC]).models[LOGISTIC]
     table = spark.createDataFrame([(model.summary.totalIterations,)], "iterations int")
     return table.withColumn("train_rows", prepared(spark, sf_dir).part("train").agg(F.count(F.lit(1))).scalar())
 
@@ -345,9 +350,9 @@ IMPORTANCES_SQL = (
 
 def importances_agree(spark, sf_dir, name: str) -> DataFrame:
     """(idx, feature, nonzeros, differs): whether a feature's importance in the model is another than its share of the gains of the stored nodes."""
-    ready, path = prepared(spark, sf_dir), f"{stored_models(spark, sf_dir)}/{name.lower().replace(' ', '_')}"
+    ready, path = prepared(spark, sf_dir), f"{stored_models(spark, sf_dir, [name])}/{name.lower().replace(' ', '_')}"
     nodes = trees.node_importances(trees.stored_nodes(spark, path), boosted=name == BOOSTED)
-    reported = models.feature_importance(trained(spark, sf_dir).models[name], ready.splits, top=None)
+    reported = models.feature_importance(trained(spark, sf_dir, [name]).models[name], ready.splits, top=None)
     registry = preprocessing.described_registry(ready.part("train"), "raw_features")
     both = registry.join(reported.withColumnRenamed("importance", "reported"), "feature", "left").join(nodes, "idx", "left")
     differs = F.abs(F.coalesce("importance", F.lit(0.0)) - F.col("reported")) > 1e-9
@@ -370,10 +375,10 @@ def j2(spark, sf_dir):
 )
 def t5(spark, sf_dir):
     """The 20 features with the greatest importance; misplaced is one left out although the stored nodes give it more than one kept has."""
-    path = f"{stored_models(spark, sf_dir)}/random_forest"
+    path = f"{stored_models(spark, sf_dir, [FOREST])}/random_forest"
     ready = prepared(spark, sf_dir)
     nodes = trees.node_importances(trees.stored_nodes(spark, path), boosted=False)
-    top = models.feature_importance(trained(spark, sf_dir).models[FOREST], ready.splits, top=20).select("feature", F.lit(True).alias("top"))
+    top = models.feature_importance(trained(spark, sf_dir, [FOREST]).models[FOREST], ready.splits, top=20).select("feature", F.lit(True).alias("top"))
     every = preprocessing.feature_registry(ready.splits, "raw_features").join(nodes, "idx", "left").join(top, "feature", "left")
     every = every.select(F.coalesce("importance", F.lit(0.0)).alias("importance"), F.coalesce("top", F.lit(False)).alias("top"))
     least = every.filter("top").agg(F.min("importance")).scalar()
@@ -385,7 +390,7 @@ def t5(spark, sf_dir):
 
 def _importance_values(name: str, top: int | None):
     def run(spark, sf_dir):
-        return rounded(models.feature_importance(trained(spark, sf_dir).models[name], prepared(spark, sf_dir).splits, top=top))
+        return rounded(models.feature_importance(trained(spark, sf_dir, [name]).models[name], prepared(spark, sf_dir).splits, top=top))
 
     return run
 
