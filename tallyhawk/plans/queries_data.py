@@ -218,7 +218,9 @@ def s9_ordered(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     writers.export_ordered_csv(orders, path, ["o_custkey", "o_orderkey"], rows_per_file=500)
     back = writers.read_result_csv(spark, path, "o_custkey long, o_orderkey long")
-    back = back.select("*", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("file"))
+    name = F.col("_metadata.file_name")
+    task, turn = (F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"part-(\d+)", r"-c(\d+)\."))
+    back = back.select("*", (task * 1_000_000 + turn).alias("file"))
     inside = back.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("o_custkey", "o_orderkey")))
     sizes = back.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("file")) - F.col("n")).drop("n")

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhawk.operators.layout import hash_repartition
 
+FILE_TASKS = 1_000
+FILES_PER_TASK = 100
+ROWS_PER_TASK = 1_000_000
+
 
 def write_partitioned(df: DataFrame, path: str, by: str, num_files: int, salt_key: str | None = None) -> None:
     """Snappy Parquet in one folder per value of ``by``.
@@ -43,11 +47,19 @@ def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
 
 
 def export_ordered_csv(df: DataFrame, path: str, order: list[str], rows_per_file: int = 1_000_000) -> None:
-    """CSV with header whose part files, in the order of their names, hold the rows in ``order``. Each is written by a task of its own,
-    as many as the rows ask for. ``df`` is read twice, so it should be stored."""
+    """CSV with header whose part files hold the rows in ``order``: files by the two numbers in their names, that of the task and that of the
+    file within the task (below a thousand files of one task, the order of the names).
+
+    There are as many files as the rows ask for, each written by a task of its own. Beyond a thousand, tasks share small files: about up to a hundred
+    each, none with more than ``rows_per_file`` rows. What tasks report and the sample of the range bounds, both of which go to the
+    driver, follow the tasks. ``df`` is read twice, so it should be stored.
+    """
     files = max(1, -(-df.count() // rows_per_file))
-    spread = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
-    spread.write.mode("overwrite").option("header", True).csv(path)
+    each = max(1, min(FILES_PER_TASK, ROWS_PER_TASK // rows_per_file))
+    tasks = max(min(files, FILE_TASKS), -(-files // each))
+    spread = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    limit = {"maxRecordsPerFile": rows_per_file} if tasks < files else {}
+    spread.write.mode("overwrite").options(header=True, **limit).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -133,3 +133,15 @@ def test_ordered_export_keeps_the_order_over_its_files(spark, tmp_path):
     files = sorted((tmp_path / "o").glob("part-*.csv"))
     lines = [line for f in files for line in f.read_text().splitlines() if line != "a,b"]
     assert len(files) == 5 and [tuple(map(int, line.split(","))) for line in lines] == sorted(tuple(r) for r in df.collect())
+
+
+def test_small_ordered_files_share_tasks(spark, tmp_path, monkeypatch):
+    """Of many small files a task writes several, none with more rows than asked for, in order of task and turn."""
+    monkeypatch.setattr(writers, "FILE_TASKS", 3)
+    df = spark.range(30_000).select((F.col("id") * 7919 % 30_011).alias("a"))
+    writers.export_ordered_csv(df, str(tmp_path / "o"), ["a"], rows_per_file=50)
+    files = sorted((tmp_path / "o").glob("part-*.csv"))
+    each = [[int(line) for line in f.read_text().splitlines() if line != "a"] for f in files]
+    assert len(files) >= 600 and max(map(len, each)) <= 50
+    assert len({f.name.split("-")[1] for f in files}) <= 6
+    assert [x for part in each for x in part] == sorted(r["a"] for r in df.collect())
