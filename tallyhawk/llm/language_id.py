@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhawk.llm.words import as_texts, slices
 
 TRIGRAMS = 1 << 16
+SLICE_BYTES = 500_000  # a byte of text takes some dozens of bytes of temporary arrays
 SMOOTH = 0.5
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
@@ -134,7 +135,7 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in chain.from_iterable(slices(b, "text") for b in batches):
+        for batch in chain.from_iterable(slices(b, "text", SLICE_BYTES) for b in batches):
             found = letters_of(as_texts(batch.column(1)))
             labels = batch.column(0).to_pylist()
             inside = np.zeros(len(found.codes) + 1, dtype=np.int64)
@@ -236,7 +237,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 65,536 x languages x 4 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(slices(b, "text") for b in batches):
+        for batch in chain.from_iterable(slices(b, "text", SLICE_BYTES) for b in batches):
             names, score = predict_batch(as_texts(batch.column(1)), shared.value, penalty)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], [doc_id, "lang_pred", "score"])
 
@@ -251,7 +252,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.35, text: st
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(slices(b, text) for b in batches):
+        for batch in chain.from_iterable(slices(b, text, SLICE_BYTES) for b in batches):
             names, score = predict_batch(as_texts(batch.column(at)), shared.value, penalty)
             yield batch.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score)]))
 

@@ -143,3 +143,24 @@ def test_an_empty_registry_and_null_ids(spark):
     known = spark.createDataFrame([(None, licenses.KNOWN["MIT"]), ("m", licenses.KNOWN["MIT"]), ("n", None)], "license_id string, text string")
     assert [r.license_id for r in licenses.scan_licenses(docs, known).collect()] == ["m", "m"]
     assert unicodedata.category("ि") == "Mc"
+
+
+def test_temporary_arrays_of_the_language_scan_stay_small():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyhawk.llm import language_id
+    from tallyhawk.llm.words import as_texts, slices
+
+    batch = pa.RecordBatch.from_pydict({"text": ["some words of a plain text " * 40] * 4000})
+    model = language_id.Model(["a", "b", "c"], np.zeros((language_id.TRIGRAMS, 3), np.float32), np.zeros((language_id.SCRIPTS, 3), np.float32))
+    language_id.tables()
+    tracemalloc.start()
+    rows = 0
+    for part in slices(batch, "text", language_id.SLICE_BYTES):
+        rows += len(language_id.predict_batch(as_texts(part.column(0)), model, 12.0)[0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 4000 and peak < 60e6
